@@ -111,7 +111,7 @@ def clean_types(df: DataFrame, profile: Profile | None = None) -> DataFrame:
 
 
 def _add(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[c for c in df.columns if c not in columns],
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns],
                      *[value.alias(name) for name, value in columns.items()])
 
 

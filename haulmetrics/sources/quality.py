@@ -52,7 +52,7 @@ def profile(df: DataFrame) -> DataFrame:
         aggs += [F.min(c).cast("string").alias(f"min_{c}"), F.max(c).cast("string").alias(f"max_{c}")]
     row = df.agg(*aggs)
 
-    def num(x) -> F.Column:
+    def num(x):
         return F.format_string("%.6f", x)
     items = [("*", "rows", F.col("rows").cast("string")), ("*", "columns", F.lit(str(len(df.columns))))]
     for f in df.schema.fields:
