@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from haulmetrics.functions.exprs import dbl
 from haulmetrics.functions.quantiles import exact_quantiles
 from haulmetrics.operators.metrics import day_statistics, regression_errors
+from haulmetrics.operators.training import feature_stages, fit_all, training_rows
 from haulmetrics.schema import CV_FOLDS, DELIVERY_FEATURES, FORECAST_DAYS, SEED, TEST_PERCENT
 
 TARGET = "days_real"
@@ -98,8 +99,7 @@ def regressors(target: str = TARGET, seed: int = SEED) -> dict:
         "linear_regression": LinearRegression(**common),
         "random_forest": RandomForestRegressor(**common, numTrees=100, maxDepth=8, seed=seed,
                                                featureSubsetStrategy="all", cacheNodeIds=True),
-        "gradient_boosting": GBTRegressor(**common, maxIter=100, maxDepth=3, stepSize=0.1, seed=seed,
-                                          cacheNodeIds=True),
+        "gradient_boosting": GBTRegressor(**common, maxIter=100, maxDepth=3, stepSize=0.1, seed=seed),
     }
 
 
@@ -111,11 +111,6 @@ class DeliveryModels:
     errors: dict[str, str] = field(default_factory=dict)
 
 
-def feature_stages(features: Sequence[str]) -> list:
-    return [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
-            StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)]
-
-
 def prepare(df: DataFrame, key: str = "line_key") -> tuple[FeatureFill, DataFrame]:
     fill = fit_feature_fill(df)
     return fill, iqr_filter(fill_features(df, fill, keep=[key]))
@@ -131,41 +126,42 @@ def train_delivery_models(df: DataFrame, names: Sequence[str] | None = None, key
     train, test = hash_split(data, key)
     out = DeliveryModels(fill)
     scaler = Pipeline(stages=feature_stages(fill.features)).fit(train)
-    scaled = scaler.transform(train).select("scaled", TARGET).persist()
+    scaled = training_rows(scaler.transform(train).select("scaled", TARGET))
+    wanted = {n: e for n, e in (estimators or regressors()).items() if names is None or n in names}
     try:
-        for name, estimator in (estimators or regressors()).items():
-            if names is not None and name not in names:
+        for name, fitted in fit_all(wanted, scaled).items():
+            if isinstance(fitted, Exception):
+                out.errors[name] = str(fitted)
                 continue
-            try:
-                model = PipelineModel(stages=[*scaler.stages, estimator.fit(scaled)])
-                row = regression_errors(model.transform(test), TARGET, "prediction").first()
-                out.models[name] = model
-                out.metrics[name] = {m: row[m] for m in ("mae", "mse", "rmse", "r2")}
-            except Exception as exc:  # keep the other models
-                out.errors[name] = str(exc)
+            model = PipelineModel(stages=[*scaler.stages, fitted])
+            row = regression_errors(model.transform(test), TARGET, "prediction").first()
+            out.models[name] = model
+            out.metrics[name] = {m: row[m] for m in ("mae", "mse", "rmse", "r2")}
     finally:
         scaled.unpersist()
     return out
 
 
 def cross_validate(df: DataFrame, names: Sequence[str] | None = None, folds: int = CV_FOLDS,
-                   key: str = "line_key", parallelism: int = 4,
+                   key: str = "line_key", parallelism: int = CV_FOLDS,
                    estimators: Mapping[str, object] | None = None) -> DataFrame:
     """Mean MAE over folds of the train rows, (model, cv_mae); folds come from the row key."""
     fill, data = prepare(df, key)
     train, _ = hash_split(data, key)
     fold = F.pmod(F.xxhash64(F.col(key), F.lit(SEED + 1)), F.lit(folds)).cast("int")
     scaler = Pipeline(stages=feature_stages(fill.features)).fit(train)
-    scaled = scaler.transform(train).select("scaled", TARGET, fold.alias("fold")).persist()
-    rows = []
+    scaled = training_rows(scaler.transform(train).select("scaled", TARGET, fold.alias("fold")))
+    validators = {
+        name: CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
+                             evaluator=RegressionEvaluator(labelCol=TARGET, metricName="mae"),
+                             numFolds=folds, foldCol="fold", parallelism=parallelism)
+        for name, estimator in (estimators or regressors()).items() if names is None or name in names}
     try:
-        for name, estimator in (estimators or regressors()).items():
-            if names is not None and name not in names:
-                continue
-            cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
-                                evaluator=RegressionEvaluator(labelCol=TARGET, metricName="mae"),
-                                numFolds=folds, foldCol="fold", parallelism=parallelism)
-            rows.append((name, float(cv.fit(scaled).avgMetrics[0])))
+        rows = []
+        for name, fitted in fit_all(validators, scaled).items():
+            if isinstance(fitted, Exception):
+                raise fitted
+            rows.append((name, float(fitted.avgMetrics[0])))
     finally:
         scaled.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, cv_mae double")
