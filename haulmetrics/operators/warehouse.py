@@ -87,15 +87,25 @@ def facility_stats(points: DataFrame, facilities: Places) -> DataFrame:
     return _distance_stats(nearest_facility(points, facilities), [])
 
 
+def kmeans_sites(points: DataFrame, ks: Sequence[int], weight_by_demand: bool = True, starts: int = 10,
+                 seed: int = SEED) -> dict[int, list[tuple[float, float]]]:
+    """Facility places at weighted K-means centres for each facility count."""
+    weighted = points.select("lat", "lon", F.col("w" if weight_by_demand else "customers").cast("double").alias("w"))
+    best = best_kmeans(weighted, ks, starts, seed)
+    return {k: sorted((float(a), float(b)) for a, b in run.centers) for k, run in best.items()}
+
+
 def kmeans_location(points: DataFrame, k: int = 5, weight_by_demand: bool = True, starts: int = 10,
-                    seed: int = SEED) -> tuple[list[tuple[float, float]], DataFrame]:
-    """Facilities at weighted K-means centres and their statistics."""
-    n = points.count()
-    if n < k:
-        raise ValueError(f"{n} locations are too few for {k} facilities")
-    model = best_kmeans(points, k, weight="w" if weight_by_demand else "customers", starts=starts, seed=seed)
-    facilities = sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
-    return facilities, facility_stats(points, facilities)
+                    seed: int = SEED) -> DataFrame:
+    """Statistics of k facilities at weighted K-means centres."""
+    points = points.persist()
+    try:
+        if points.limit(k).count() < k:
+            raise ValueError(f"too few locations for {k} facilities")
+        sites = kmeans_sites(points, [k], weight_by_demand, starts, seed)[k]
+    finally:
+        points.unpersist()
+    return facility_stats(points, sites)
 
 
 def center_of_gravity(points: DataFrame) -> DataFrame:
@@ -279,12 +289,12 @@ def compare_counts(points: DataFrame, counts: Sequence[int] = (3, 5, 7, 10), sta
     try:
         spark = points.sparkSession
         customers = points.agg(F.sum("customers")).first()[0] or 0
+        kept = [k for k in counts if k <= customers / 10]
+        if not kept:
+            raise ValueError("too few customers for any of the facility counts")
         rows = []
-        for k in counts:
-            if k > customers / 10:
-                continue
-            _, stats = kmeans_location(points, k, starts=starts, seed=seed)
-            km = stats.agg(F.sum("total_distance_km")).first()[0]
+        for k, sites in kmeans_sites(points, kept, starts=starts, seed=seed).items():
+            km = facility_stats(points, sites).agg(F.sum("total_distance_km")).first()[0]
             fixed, transport = float(k * FACILITY_COST), km * TRANSPORT_COST_PER_KM
             rows.append((f"{k}_facilities", k, km, km / customers, fixed, fixed / customers, transport, fixed + transport))
     finally:

@@ -51,8 +51,7 @@ def points(spark, sf_dir):
 
 @query("w1_kmeans")
 def kmeans(spark, sf_dir):
-    pts = points(spark, sf_dir).persist()
-    return warehouse.kmeans_location(pts)[1]
+    return warehouse.kmeans_location(points(spark, sf_dir))
 
 
 @query("w2_nearest_facility", on_lines(
