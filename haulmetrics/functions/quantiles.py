@@ -9,8 +9,10 @@ survive a table with billions of distinct amounts. Here:
    fixed share of the rows, and its size is checked before it is used.
 
 Brackets that still hold too many distinct values are narrowed by a further sketch of
-their content. Every answer is read off counted ranks, so the sketch's error decides how
-many values get listed and never what the result is.
+what lies strictly between their edges. An edge that is itself a frequent value is counted
+apart: it either is the answer or drops out, so its weight cannot hold up the narrowing.
+Every answer is read off counted ranks; the sketch's error decides how many values get
+listed and never what the result is.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ SMALL_TABLE = 20_000
 
 @dataclass
 class _Bracket:
-    """Values low..high of a column, holding the wanted rank; below/inside count rows."""
+    """Values between two edges around the wanted rank; below/inside count rows."""
     column: str
     rank: int
     inside: int
@@ -45,11 +47,12 @@ class _Bracket:
         if self.inside - 1 - offset > slack:
             self.high = min(self.high, high)
 
-    def holds(self, value: Column) -> Column:
+    def between(self, value: Column) -> Column:
+        """Strictly between the edges."""
         cond = value.isNotNull()
         if self.low != -math.inf:
-            cond = cond & (value >= self.low)
-        return cond & (value <= self.high) if self.high != math.inf else cond
+            cond = cond & (value > self.low)
+        return cond & (value < self.high) if self.high != math.inf else cond
 
 
 def _sketch(values: DataFrame, brackets: list[_Bracket], margin: float) -> None:
@@ -57,24 +60,35 @@ def _sketch(values: DataFrame, brackets: list[_Bracket], margin: float) -> None:
     for i, b in enumerate(brackets):
         share = (b.rank - b.below) / max(b.inside - 1, 1)
         edges = [max(0.0, share - margin), min(1.0, share + margin)]
-        content = F.when(b.holds(F.col(b.column)), F.col(b.column))
+        content = F.when(b.between(F.col(b.column)), F.col(b.column))
         aggs.append(F.percentile_approx(content, edges, SKETCH_ACCURACY).alias(f"b{i}"))
     row = values.agg(*aggs).first()
     for i, b in enumerate(brackets):
         b.tighten(*row[f"b{i}"], margin)
 
 
-def _recount(values: DataFrame, totals: Mapping[str, int], brackets: list[_Bracket]) -> None:
-    """Exact rows below and inside each bracket; a bracket that missed its rank reopens."""
+def _recount(values: DataFrame, totals: Mapping[str, int], brackets: list[_Bracket]) -> dict:
+    """Place each rank among exact counts: on an edge (returned), strictly between the
+    edges (the bracket's new content), or outside, which reopens the bracket."""
     aggs = []
     for i, b in enumerate(brackets):
         value = F.col(b.column)
-        aggs += [F.count_if(value < b.low).alias(f"u{i}"), F.count_if(b.holds(value)).alias(f"k{i}")]
+        aggs += [F.count_if(value < b.low).alias(f"under{i}"), F.count_if(value == b.low).alias(f"low{i}"),
+                 F.count_if(b.between(value)).alias(f"in{i}"), F.count_if(value == b.high).alias(f"high{i}")]
     row = values.agg(*aggs).first()
+    on_edge = {}
     for i, b in enumerate(brackets):
-        b.below, b.inside = row[f"u{i}"], row[f"k{i}"]
-        if not b.below <= b.rank < b.below + b.inside:
+        first = row[f"under{i}"] + row[f"low{i}"]
+        past = first + row[f"in{i}"]
+        if row[f"under{i}"] <= b.rank < first:
+            on_edge[(b.column, b.rank)] = b.low
+        elif first <= b.rank < past:
+            b.below, b.inside = first, row[f"in{i}"]
+        elif past <= b.rank < past + row[f"high{i}"]:
+            on_edge[(b.column, b.rank)] = b.high
+        else:
             b.low, b.high, b.below, b.inside = -math.inf, math.inf, 0, totals[b.column]
+    return on_edge
 
 
 def _entry(column: str, brackets: list[_Bracket]) -> Column:
@@ -164,11 +178,12 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column | str] | Sequenc
         if rows is not None:
             found.update({k: v for k in pending if (v := _read(rows, *k)) is not None})
             pending = {k: b for k, b in pending.items() if k not in found}
-            margin *= 4
+            margin = min(4 * margin, 0.25)
+        if pending:
+            found.update(_recount(values, totals, list(pending.values())))
+            pending = {k: b for k, b in pending.items() if k not in found}
         if pending:
-            brackets = list(pending.values())
-            _recount(values, totals, brackets)
-            _sketch(values, brackets, margin)
+            _sketch(values, list(pending.values()), margin)
 
     def at(name: str, low: int, high: int, part: float) -> float:
         a, b = found[(name, low)], found[(name, high)]

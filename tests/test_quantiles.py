@@ -30,6 +30,12 @@ def test_one_row(spark):
     check(spark, {"a": [4.5]})
 
 
+def test_hot_value_beside_many_others(spark, tight):
+    """A rank next to a value with most of the rows must still be reached."""
+    check(spark, {"a": np.concatenate([np.linspace(0, 1, 300), np.full(2000, 2.0), np.linspace(3, 4, 300)])},
+          (0.05, 0.11, 0.5, 0.9, 0.95))
+
+
 @pytest.fixture
 def tight(monkeypatch):
     """Sketches too coarse and listings too short for the data, to force every retry path."""
