@@ -16,12 +16,15 @@ def _col(x) -> Column:
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    """Great-circle km; arguments are columns, column names or numbers in degrees."""
+    """Great-circle km; arguments are columns, column names or numbers in degrees.
+
+    Null when any coordinate is null (``least`` would skip the null and give half the globe).
+    """
     phi1, phi2 = F.radians(_col(lat1)), F.radians(_col(lat2))
     half_dphi = (phi2 - phi1) / 2
     half_dlambda = (F.radians(_col(lon2)) - F.radians(_col(lon1))) / 2
     h = F.sin(half_dphi) * F.sin(half_dphi) + F.cos(phi1) * F.cos(phi2) * F.sin(half_dlambda) * F.sin(half_dlambda)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def degree_gap(lat1, lon1, lat2, lon2) -> Column:

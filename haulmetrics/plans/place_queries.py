@@ -176,7 +176,7 @@ def top_regions(spark, sf_dir):
 SELECT region, vehicle_id, round(d, 6) AS distance_km, num_stops, round(d / 40 * 60, 6) AS travel_time_min,
   CAST(num_stops * 10 AS DOUBLE) AS service_time_min, round(d / 40 * 60 + num_stops * 10, 6) AS total_time_min
 FROM (SELECT r.region, CAST(v.v AS INT) AS vehicle_id, CASE WHEN seq IS NULL THEN 0 ELSE 1 END AS num_stops,
-        coalesce(2 * {hav('depot_lat', 'depot_lon', 'lat', 'lon')}, 0) AS d
+        CASE WHEN seq IS NULL THEN 0 ELSE 2 * {hav('depot_lat', 'depot_lon', 'lat', 'lon')} END AS d
       FROM (SELECT DISTINCT region FROM stops) r CROSS JOIN range(3) v(v)
       LEFT JOIN stops s ON s.region = r.region AND s.seq = v.v + 1)""", _stops_sql(2)))
 def simple_routes(spark, sf_dir):
@@ -184,8 +184,9 @@ def simple_routes(spark, sf_dir):
 
 
 _ROUTES = ("routes", f"""SELECT region, vehicle_id, coalesce(sum(leg), 0) AS d, count(*) AS n FROM (
-  SELECT region, (seq - 1) % 3 AS vehicle_id, {hav('lat', 'lon', 'lead(lat) OVER w', 'lead(lon) OVER w')} AS leg
-  FROM stops WINDOW w AS (PARTITION BY region, (seq - 1) % 3 ORDER BY seq)) GROUP BY ALL""")
+  SELECT region, vehicle_id, CASE WHEN to_lat IS NOT NULL THEN {hav('lat', 'lon', 'to_lat', 'to_lon')} END AS leg
+  FROM (SELECT region, (seq - 1) % 3 AS vehicle_id, lat, lon, lead(lat) OVER w AS to_lat, lead(lon) OVER w AS to_lon
+        FROM stops WINDOW w AS (PARTITION BY region, (seq - 1) % 3 ORDER BY seq))) GROUP BY ALL""")
 
 
 def plain_routes(spark, sf_dir):

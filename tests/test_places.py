@@ -29,6 +29,8 @@ def random_points(n, seed, spread=20):
 
 def test_haversine(spark):
     r = spark.range(1).select(haversine_km(0, 0, 0, 1).alias("d"), haversine_km(0, 0, 0, 180).alias("half")).first()
+    gone = spark.range(1).select(haversine_km(0, 0, F.lit(None).cast("double"), 1).alias("d")).first()["d"]
+    assert gone is None
     assert r["d"] == pytest.approx(111.195, abs=0.001) and r["half"] == pytest.approx(math.pi * 6371)
 
 
