@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,30 +67,37 @@ def _hashed(codes: list[np.ndarray], counted: list[int]) -> tuple[list[np.ndarra
     return buckets, counts, starts
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _table(lang: list[str], block: list[int], counts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(block, pa.int32()), pa.array(counts, pa.binary())],
+                                      ["lang", "block", "counts"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: n-gram counts of each language in blocks of buckets; block -1 holds its documents."""
     totals: dict[str, np.ndarray] = {}
     documents: dict[str, int] = {}
     for batch in batches:
-        for lang, group in batch.groupby("lang"):
+        texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for lang in set(langs):
+            own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
             counts = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            documents[lang] = documents.get(lang, 0) + len(group)
-            for _, codes, counted in _pieces(group["text"].tolist()):
+            documents[lang] = documents.get(lang, 0) + len(own)
+            for _, codes, counted in _pieces(own):
                 buckets, counts_here, _ = _hashed(codes, counted)
                 for order in buckets:
                     counts += np.bincount(order[counts_here], minlength=BUCKETS)
     for lang, counts in totals.items():
-        yield pd.DataFrame({"lang": lang, "block": np.arange(-1, BUCKETS // BLOCK), "counts": [
-            np.array([documents[lang]]).tobytes(), *(b.tobytes() for b in counts.reshape(-1, BLOCK))]})
+        blocks = [np.array([documents[lang]]).tobytes(), *(b.tobytes() for b in counts.reshape(-1, BLOCK))]
+        yield _table([lang] * len(blocks), list(range(-1, len(blocks) - 1)), blocks)
 
 
-def _add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[tuple[str, int], np.ndarray] = {}
     for batch in batches:
-        for lang, block, counts in batch[["lang", "block", "counts"]].itertuples(index=False):
+        for lang, block, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             totals[lang, block] = totals.get((lang, block), 0) + np.frombuffer(counts, np.int64)
-    yield pd.DataFrame({"lang": [k[0] for k in totals], "block": [k[1] for k in totals],
-                        "counts": [v.tobytes() for v in totals.values()]})
+    if totals:
+        yield _table([k[0] for k in totals], [k[1] for k in totals], [v.tobytes() for v in totals.values()])
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
@@ -103,7 +109,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     schema = "lang string, block int, counts binary"
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    summed = rows.mapInPandas(_count, schema).repartition("lang", "block").mapInPandas(_add, schema)
+    summed = rows.mapInArrow(_count, schema).repartition("lang", "block").mapInArrow(_add, schema)
     counts: dict[str, np.ndarray] = {}
     documents: dict[str, int] = {}
     for row in summed.collect():  # BUCKETS numbers for each language
