@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmetrics.llm import exact_dedup, language_id, simhash, token_counts
+from haulmetrics.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    sql,
+    token_counts,
+    url_filters,
+)
 from haulmetrics.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +43,37 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+HOST_SQL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
+# Dated entries derived from the hosts of the pages, about one list entry for every second host.
+ENTRIES = """
+WITH hosts AS (SELECT DISTINCT host, regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) AS site FROM captured WHERE host <> ''),
+marks AS (SELECT host, site, ascii(substring(md5(host), 1, 1)) + 16 * ascii(substring(md5(host), 2, 1)) AS a,
+                 ascii(substring(md5(site), 1, 1)) + 16 * ascii(substring(md5(site), 2, 1)) AS b FROM hosts)
+SELECT DISTINCT 'ads' AS list, 'domain' AS kind, site AS rule, DATE '2024-01-01' + CAST(b % 200 AS INT) AS day, 'add' AS action
+FROM marks WHERE b % 3 = 0 AND site <> ''
+UNION ALL SELECT DISTINCT 'ads', 'domain', site, DATE '2024-01-01' + CAST(b % 200 + 60 AS INT), 'remove' FROM marks WHERE b % 3 = 0 AND site <> ''
+UNION ALL SELECT DISTINCT 'ads', 'domain', site, DATE '2024-01-01' + CAST(b % 200 + 120 AS INT), 'add' FROM marks WHERE b % 3 = 0 AND site <> ''
+UNION ALL SELECT 'phish', 'domain', host, DATE '2024-01-01' + CAST(a % 300 AS INT), 'add' FROM marks WHERE a % 5 = 1
+UNION ALL SELECT 'paths', 'path', concat(host, '/de'), DATE '2024-01-01' + CAST(a % 100 AS INT), 'add' FROM marks WHERE a % 2 = 0
+UNION ALL SELECT 'paths', 'path', concat(host, '/de'), DATE '2024-01-01' + CAST(a % 100 + 150 AS INT), 'remove' FROM marks WHERE a % 2 = 0
+UNION ALL SELECT DISTINCT 'terms', 'word', word, DATE '2024-02-01' + CAST(length(word) * 7 AS INT), 'add'
+FROM (SELECT unnest_words AS word FROM words) w WHERE word IN ('casino', 'bets', 'pills', 'blog')
+UNION ALL SELECT DISTINCT 'terms', 'word', word, DATE '2024-02-01' + CAST(length(word) * 30 AS INT), 'remove'
+FROM (SELECT unnest_words AS word FROM words) w WHERE word IN ('casino', 'bets', 'pills', 'blog')"""
+
+
+@query("op2_url_filters", sql.url_filters(ENTRIES, HOST_SQL))
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, captured on a day that follows from their id, against lists made from their hosts."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", "url", F.expr("date_add(DATE '2024-01-01', CAST(page_id % 366 AS INT))").alias("day"))
+    hosts = pages.select(url_filters.url_host(F.col("url")).alias("host")).distinct()
+    words = hosts.select(F.explode(F.split("host", "[.-]")).alias("unnest_words")).distinct()
+    entries = spark.sql(ENTRIES.replace("FROM captured", "FROM {captured}").replace("FROM words", "FROM {words}"),
+                        captured=hosts, words=words)
+    return url_filters.filter_urls(pages, entries).drop("url")
+
+
 def held_out() -> F.Column:
     """The fold that language identification must not learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4, F.lit(0)) == 2
@@ -54,3 +96,45 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op5_quality_classifier", sql.QUALITY)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no address: the source is the host, its language sections are the paths."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.score_quality(documents(spark, sf_dir), labels, F.col("source"), F.col("lang"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("evidence", "site_prior", "score")})
+
+
+@query("op6_benchmark_decontamination", sql.DECONTAMINATION)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.contaminated(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+    return found.drop("text")
+
+
+@query("op7_sharding", sql.sharding(sharding.TABLE_SIZE, 64, "shards"))
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(documents(spark, sf_dir).select("doc_id", "text"))
+    return placed.select("doc_id", "slot", "shard", "order_key")
+
+
+LEVELS = ["domain", "lang", "source"]
+
+
+def domain() -> F.Column:
+    """A source's number decides the domain; the tables have none."""
+    return F.concat(F.lit("domain"), (F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int"), F.lit(0)) % 4).cast("string"))
+
+
+def target_weights() -> list[F.Column]:
+    """Domains 4:3:2:1, English 3 to 2 for other languages, sources alike but for number 0, 8 and 9."""
+    return [4 - F.substring("domain", 7, 1).cast("int"), F.when(F.col("lang") == "en", 3).otherwise(2),
+            F.when(F.col("source").isin("src0", "src8", "src9"), 2).otherwise(1)]
+
+
+@query("op10_mixing", sql.MIXING)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("domain", domain())
+    mixed = mixing.mix(docs, LEVELS, target_weights())
+    return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "n_copies")
