@@ -62,16 +62,21 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"block": list(merged), "bits": [t.tobytes() for _, t in merged.values()]})
 
 
+def merge_bits(parts: DataFrame, blocks: int) -> bytes:
+    """The bits set twice of all tasks' ``block, once, twice``; the driver gets ``blocks`` blocks at most."""
+    merged = parts.repartition("block").mapInPandas(_merge, "block long, bits binary")
+    bits = np.zeros((blocks, BLOCK_BYTES), np.uint8)
+    for row in merged.collect():
+        bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.tobytes()
+
+
 def repeated_bits(hashes: DataFrame, rows: int, bits_per_row: int = BITS_PER_ROW,
                   max_bytes: int = MAX_FILTER_BYTES) -> bytes:
     """The bits that at least two of the 32-byte values of column ``hash`` set; ``max_bytes`` at most."""
     blocks = filter_blocks(rows, bits_per_row, max_bytes)
     parts = hashes.select("hash").mapInPandas(_fold(blocks), "block long, once binary, twice binary")
-    merged = parts.repartition("block").mapInPandas(_merge, "block long, bits binary")
-    bits = np.zeros((blocks, BLOCK_BYTES), np.uint8)
-    for row in merged.collect():  # at most max_bytes
-        bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    return bits.tobytes()
+    return merge_bits(parts, blocks)
 
 
 def maybe_repeated(hashes: DataFrame, bits: bytes) -> DataFrame:

@@ -16,6 +16,7 @@ from haulmetrics.llm import (
     sharding,
     simhash,
     sql,
+    suffix_dedup,
     token_counts,
     url_filters,
 )
@@ -119,6 +120,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard", "order_key")
 
 
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 LEVELS = ["domain", "lang", "source"]
 
 
