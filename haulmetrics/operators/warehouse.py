@@ -20,38 +20,42 @@ from pyspark.sql import DataFrame, functions as F
 from haulmetrics.functions.exprs import dbl, ratio
 from haulmetrics.functions.geo import facility_array, haversine_km, nearest_in
 from haulmetrics.functions.quantiles import exact_quantiles
-from haulmetrics.operators.clustering import best_kmeans, grouped_kmeans, join_groups
+from haulmetrics.operators.clustering import STARTS, best_kmeans, grouped_kmeans, join_groups
 from haulmetrics.operators.scenarios import rank_scenarios
 from haulmetrics.schema import EARTH_RADIUS_KM, FACILITY_COST, SEED, TRANSPORT_COST_PER_KM
 from haulmetrics.session import cut_lineage
 
 FACILITIES_PER_ARRAY = 200
-EXACT_SETS = 5_000
-SETS_PER_PASS = 20_000
+# Candidate sets whose costs one task adds up at once, and points compared with them at once.
+SETS_PER_BLOCK = 10_000
+POINTS_PER_BLOCK = 512
 
 Places = Sequence[tuple[float, float]]
 
 
 def demand_points(df: DataFrame, by: Sequence[str] = (), quantity: str = "order_item_quantity",
-                  lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+                  lat: str = "latitude", lon: str = "longitude", missing: str = "zero") -> DataFrame:
     """Distinct locations (lat, lon) with ``customers`` (lines), ``demand`` and weight ``w``.
 
-    ``w`` adds max(1, floor(quantity / mean quantity)) per line, a missing quantity
-    counting as 1; the mean is taken per ``by`` group.
+    ``missing`` says what the demand of a line without a quantity is: ``zero``, ``one``, or
+    ``drop`` to leave such lines out. ``w`` adds max(1, floor(quantity / mean quantity)) per
+    line, a missing quantity counting as 1; the mean is taken per ``by`` group.
     """
+    if missing not in ("zero", "one", "drop"):
+        raise ValueError(f"unknown treatment of missing quantities: {missing}")
     placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    quantity_or_one = F.coalesce(F.col(quantity), F.lit(1))
+    if missing == "drop":
+        placed = placed.where(F.col(quantity).isNotNull())
     # Lines per (place, quantity) first: a busy place becomes one row per quantity value.
-    counts = placed.groupBy(*by, F.col(lat).alias("lat"), F.col(lon).alias("lon"), quantity_or_one.alias("q"),
+    counts = placed.groupBy(*by, F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.coalesce(F.col(quantity), F.lit(1)).alias("q"),
                             F.col(quantity).isNull().alias("q_missing")).agg(F.count(F.lit(1)).alias("n"))
-    if by:
-        mean = placed.groupBy(*by).agg(F.avg(quantity_or_one).alias("mean_q"))
-        # A few rows per group: adaptive execution broadcasts it once its size is measured.
-        weighed, share = counts.join(mean, list(by)), F.floor(dbl("q") / F.col("mean_q"))
-    else:
-        mean = placed.agg(F.avg(quantity_or_one).alias("m")).first()["m"]
-        weighed, share = counts, F.floor(dbl("q") / F.lit(mean or 1.0))
-    demand = F.when(F.col("q_missing"), F.lit(0)).otherwise(F.col("q"))
+    # The means follow from the counts, whose shuffle both sides of the join share; a few rows
+    # that adaptive execution broadcasts once their size is measured.
+    key = list(by) or [F.lit(1).alias("_all")]
+    mean = counts.groupBy(*key).agg((F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean_q"))
+    weighed = counts.join(mean, list(by)) if by else counts.withColumn("_all", F.lit(1)).join(mean, "_all")
+    share = F.floor(dbl("q") / F.col("mean_q"))
+    demand = F.when(F.col("q_missing") & F.lit(missing == "zero"), F.lit(0)).otherwise(F.col("q"))
     return weighed.groupBy(*by, "lat", "lon").agg(
         F.sum("n").alias("customers"), F.sum(demand * F.col("n")).cast("bigint").alias("demand"),
         dbl(F.sum(F.greatest(F.lit(1), share) * F.col("n"))).alias("w"))
@@ -87,6 +91,13 @@ def facility_stats(points: DataFrame, facilities: Places) -> DataFrame:
     return _distance_stats(nearest_facility(points, facilities), [])
 
 
+def facility_totals(stats: DataFrame, n_facilities: int) -> DataFrame:
+    """One row over all facilities: customers, total and mean km per order, cost of the facilities."""
+    return stats.agg(F.sum("customers_served").alias("total_customers"), F.sum("total_distance_km").alias("total_distance_km"),
+                     (F.sum("total_distance_km") / F.sum("customers_served")).alias("avg_distance_per_order_km")).select(
+        F.lit(n_facilities).alias("n_facilities"), "*", F.lit(float(n_facilities * FACILITY_COST)).alias("facility_cost"))
+
+
 def kmeans_sites(points: DataFrame, ks: Sequence[int], weight_by_demand: bool = True, starts: int = 10,
                  seed: int = SEED) -> dict[int, list[tuple[float, float]]]:
     """Facility places at weighted K-means centres for each facility count."""
@@ -103,13 +114,16 @@ def kmeans_location(points: DataFrame, k: int = 5, weight_by_demand: bool = True
         if points.limit(k).count() < k:
             raise ValueError(f"too few locations for {k} facilities")
         sites = kmeans_sites(points, [k], weight_by_demand, starts, seed)[k]
+        return cut_lineage(facility_stats(points, sites))
     finally:
         points.unpersist()
-    return facility_stats(points, sites)
 
 
 def center_of_gravity(points: DataFrame) -> DataFrame:
-    """Demand-weighted centroid and the distances to it, one row."""
+    """Demand-weighted centroid and the distances to it, one row.
+
+    Lines without a quantity have no weight to give: take points with ``missing="drop"``.
+    """
     weight = dbl("demand")
     row = points.agg(F.sum(F.col("lat") * weight).alias("y"), F.sum(F.col("lon") * weight).alias("x"),
                      F.sum(weight).alias("w")).first()
@@ -145,62 +159,65 @@ def _km_matrix(lat: np.ndarray, lon: np.ndarray, sites: np.ndarray) -> np.ndarra
     return 2 * EARTH_RADIUS_KM * np.arcsin(np.minimum(1.0, np.sqrt(h)))
 
 
-def set_costs(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]) -> DataFrame:
-    """(set_id, objective): demand x km to the nearest site of each set of site numbers.
+def cheapest_set(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]) -> tuple[tuple[int, ...], float]:
+    """The set of site numbers with the least demand x km to its nearest site, the first of equals.
 
-    Every task folds its own points into one vector of set costs; only those vectors are
-    shuffled, so no pair of point and set is ever a row.
+    Every task folds its own points into one cost for each set, block by block; blocks are
+    added up and give their best set, so no pair of point and set is ever a row and the
+    driver sees one row per block.
     """
     places = np.array(sites, dtype=float)
-    members = np.array(sets, dtype=int)
+    members = np.array(sets, dtype=np.int16)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(members))
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start:start + 256]
-                km = _km_matrix(part["lat"].to_numpy(), part["lon"].to_numpy(), places)
-                nearest = km[:, members[:, 0]]
-                for j in range(1, members.shape[1]):
-                    nearest = np.minimum(nearest, km[:, members[:, j]])
-                total += part["demand"].to_numpy(dtype=float) @ nearest
-        yield pd.DataFrame({"set_id": np.arange(len(members)), "cost": total})
-
-    partial = points.select("lat", "lon", "demand").mapInPandas(fold, "set_id int, cost double")
-    return partial.groupBy("set_id").agg(F.sum("cost").alias("objective"))
-
-
-def _cheapest(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]) -> tuple[tuple[int, ...], float]:
-    best = None
-    for start in range(0, len(sets), SETS_PER_PASS):
-        part = sets[start:start + SETS_PER_PASS]
-        row = set_costs(points, sites, part).agg(
-            F.min(F.struct("objective", "set_id")).alias("b")).first()["b"]
-        if best is None or row["objective"] < best[1]:
-            best = (tuple(part[row["set_id"]]), row["objective"])
-    return best
-
-
-def p_median_sites(points: DataFrame, sites: Places, p: int) -> tuple[tuple[int, ...], float]:
+            for start in range(0, len(batch), POINTS_PER_BLOCK):
+                part = batch.iloc[start:start + POINTS_PER_BLOCK]
+                # One row per site: picking a set's sites copies whole rows.
+                km = np.ascontiguousarray(_km_matrix(part["lat"].to_numpy(), part["lon"].to_numpy(), places).T)
+                demand = part["demand"].to_numpy(dtype=float)
+                for at in range(0, len(members), 1_000):
+                    some = members[at:at + 1_000]
+                    nearest = km[some[:, 0]]
+                    for j in range(1, some.shape[1]):
+                        np.minimum(nearest, km[some[:, j]], out=nearest)
+                    total[at:at + 1_000] += nearest @ demand
+        blocks = range(0, len(total), SETS_PER_BLOCK)
+        yield pd.DataFrame({"block": blocks, "costs": [total[b:b + SETS_PER_BLOCK].tobytes() for b in blocks]})
+
+    def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        costs = sum(np.frombuffer(c) for c in parts["costs"])
+        return pd.DataFrame({"set_id": [key[0] + int(costs.argmin())], "objective": [costs.min()]})
+    partial = points.select("lat", "lon", "demand").mapInPandas(fold, "block int, costs binary")
+    best = partial.groupBy("block").applyInPandas(add, "set_id int, objective double")
+    row = best.agg(F.min(F.struct("objective", "set_id")).alias("b")).first()["b"]
+    return tuple(int(j) for j in members[row["set_id"]]), row["objective"]
+
+
+def p_median_sites(points: DataFrame, sites: Places, p: int, method: str = "exact") -> tuple[tuple[int, ...], float]:
     """Site numbers of the chosen set and its objective.
 
-    All sets are scored when there are few enough (exact); otherwise sites are added
-    greedily and then exchanged one for one while that helps.
+    ``exact`` scores every set of p sites; ``exchange`` adds sites greedily and then swaps one
+    for one while that helps, for problems whose sets are too many to score.
     """
     m = len(sites)
     if m < p:
         raise ValueError(f"{m} candidate sites are too few for {p} facilities")
-    points = points.persist()
+    if method not in ("exact", "exchange"):
+        raise ValueError(f"unknown method {method}")
+    # Few rows with much work each: spread them by the cores, not by their bytes.
+    points = points.repartition(points.sparkSession.sparkContext.defaultParallelism).persist()
     try:
-        if math.comb(m, p) <= EXACT_SETS:
-            return _cheapest(points, sites, list(itertools.combinations(range(m), p)))
+        if method == "exact":
+            return cheapest_set(points, sites, list(itertools.combinations(range(m), p)))
         chosen: tuple[int, ...] = ()
         cost = math.inf
         while len(chosen) < p:
-            chosen, cost = _cheapest(points, sites, [chosen + (j,) for j in range(m) if j not in chosen])
+            chosen, cost = cheapest_set(points, sites, [chosen + (j,) for j in range(m) if j not in chosen])
         while True:
             swaps = [tuple(sorted(set(chosen) - {out} | {j})) for out in chosen for j in range(m) if j not in chosen]
-            swapped, new_cost = _cheapest(points, sites, swaps)
+            swapped, new_cost = cheapest_set(points, sites, swaps) if swaps else (chosen, cost)
             if new_cost >= cost * (1 - 1e-12):
                 return tuple(sorted(chosen)), cost
             chosen, cost = swapped, new_cost
@@ -218,9 +235,9 @@ def nearest_by_km(points: DataFrame, facilities: Places) -> DataFrame:
         F.col("_f.lon").alias("facility_lon"))
 
 
-def p_median(points: DataFrame, sites: Places, p: int = 5) -> DataFrame:
-    """Statistics of the chosen sites with the objective on every row."""
-    chosen, objective = p_median_sites(points, sites, p)
+def p_median(points: DataFrame, sites: Places, p: int = 5, method: str = "exact") -> DataFrame:
+    """Statistics of the chosen sites with the objective on every row; points with ``missing="one"``."""
+    chosen, objective = p_median_sites(points, sites, p, method)
     opened = [sites[j] for j in chosen]
     return _distance_stats(nearest_by_km(points, opened), []).withColumn("objective", F.lit(objective))
 
@@ -305,22 +322,20 @@ def compare_counts(points: DataFrame, counts: Sequence[int] = (3, 5, 7, 10), sta
     return rank_scenarios(table, "scenario", "total_system_cost")
 
 
-def by_region(df: DataFrame, region: str = "order_region", k: int = 2, max_iter: int = 30) -> DataFrame:
+def by_region(df: DataFrame, region: str = "order_region", k: int = 2, starts: int = STARTS) -> DataFrame:
     """k facilities per region with their statistics; tiny and null regions are skipped."""
-    located = df.where(F.col(region).isNotNull())
-    points = demand_points(located, by=[region]).persist()
+    points = cut_lineage(demand_points(df.where(F.col(region).isNotNull()), by=[region]))
+    sizes = points.groupBy(region).agg(F.sum("customers").alias("lines")).where(F.col("lines") >= 5 * k)
+    kept = points.join(sizes.select(region), region, "left_semi").persist()
     try:
-        lines = located.groupBy(region).agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") >= 5 * k)
-        n_groups = lines.count()
-        kept = join_groups(points, lines.select(region), region, n_groups)
-        centers = grouped_kmeans(kept.select(region, "lat", "lon", "w"), region, k, max_iter)
-        joined = join_groups(kept, centers, region, n_groups)
+        centers = grouped_kmeans(kept.select(region, "lat", "lon", "w"), region, k, starts)
+        joined = join_groups(kept, centers, region, centers.count(), 32 * k)
         near = nearest_in(F.col("centers"), "lat", "lon")
         assigned = joined.select(region, "lat", "lon", "customers", "demand", near["id"].alias("facility_id"),
                                  near["lat"].alias("facility_lat"), near["lon"].alias("facility_lon"))
         return cut_lineage(_distance_stats(assigned, [region]))
     finally:
-        points.unpersist()
+        kept.unpersist()
 
 
 def region_summary(facilities: DataFrame, region: str = "order_region") -> DataFrame:

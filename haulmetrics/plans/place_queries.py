@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from haulmetrics.functions.geo import haversine_km
 from haulmetrics.operators import metrics, routing, stops, warehouse
+from haulmetrics.plans.gaps import GAP_COLUMNS
 from haulmetrics.plans.metric_queries import rounded
 from haulmetrics.plans.registry import on_lines, query
 from haulmetrics.sources.star import order_lines
@@ -65,13 +66,16 @@ def facility_stats(spark, sf_dir):
     return _rounded_stats(warehouse.facility_stats(points(spark, sf_dir), FACILITIES))
 
 
-@query("w4_center_of_gravity", on_lines(f"""
+_GRAVITY = f"""
 SELECT round(cy, 6) AS latitude, round(cx, 6) AS longitude, CAST(sum(customers) AS BIGINT) AS total_customers,
   CAST(sum(demand) AS BIGINT) AS total_demand, round(sum(km * customers) / sum(customers), 2) AS avg_distance_km,
   round(sum(km * demand) / sum(demand), 2) AS weighted_avg_distance_km, round(max(km), 2) AS max_distance_km,
   round(sum(km * customers), 2) AS total_distance_km
 FROM (SELECT *, {hav('lat', 'lon', 'cy', 'cx')} AS km FROM points,
-  (SELECT sum(lat * demand) / sum(demand) AS cy, sum(lon * demand) / sum(demand) AS cx FROM points)) GROUP BY cy, cx""", _POINTS))
+  (SELECT sum(lat * demand) / sum(demand) AS cy, sum(lon * demand) / sum(demand) AS cx FROM points)) GROUP BY cy, cx"""
+
+
+@query("w4_center_of_gravity", on_lines(_GRAVITY, _POINTS))
 def center_of_gravity(spark, sf_dir):
     return warehouse.center_of_gravity(points(spark, sf_dir))
 
@@ -99,6 +103,55 @@ def p_median(spark, sf_dir):
     return out.withColumn("objective", F.round("objective", 1))
 
 
+def gap_points(spark, sf_dir, missing):
+    """Demand points of lines of which some have no quantity."""
+    lines = order_lines(spark, sf_dir, [*DEMAND, "order_id", "days_real"])
+    return warehouse.demand_points(lines.withColumn("order_item_quantity", F.expr(GAP_COLUMNS["order_item_quantity"])), missing=missing)
+
+
+def _gap_points_sql(quantity: str, condition: str) -> tuple[str, str]:
+    return ("points", f"""SELECT latitude AS lat, longitude AS lon, count(*) AS customers, CAST(sum({quantity}) AS BIGINT) AS demand
+  FROM (SELECT latitude, longitude, {GAP_COLUMNS["order_item_quantity"]} AS q FROM ol) WHERE {condition} GROUP BY 1, 2""")
+
+
+@query("w4_center_of_gravity_gaps", on_lines(_GRAVITY, _gap_points_sql("q", "q IS NOT NULL")))
+def center_of_gravity_gaps(spark, sf_dir):
+    return warehouse.center_of_gravity(gap_points(spark, sf_dir, "drop"))
+
+
+_BEST_FIVE = ("best_set", """SELECT a.j AS j1, b.j AS j2, c.j AS j3, d.j AS j4, e.j AS j5,
+    sum(a.demand * least(a.km, b.km, c.km, d.km, e.km)) AS objective
+  FROM kms a JOIN kms b ON a.lat = b.lat AND a.lon = b.lon AND a.j < b.j JOIN kms c ON a.lat = c.lat AND a.lon = c.lon AND b.j < c.j
+  JOIN kms d ON a.lat = d.lat AND a.lon = d.lon AND c.j < d.j JOIN kms e ON a.lat = e.lat AND a.lon = e.lon AND d.j < e.j
+  GROUP BY ALL ORDER BY objective LIMIT 1""")
+_OPENED_FIVE = ("opened", _OPENED[1].replace("(j1, j2, j3)", "(j1, j2, j3, j4, j5)"))
+
+
+@query("w5_p_median_default", on_lines(
+    "SELECT s.*, (SELECT round(objective, 1) FROM best_set) AS objective FROM (" + _STATS.format(source="served") + ") s",
+    _gap_points_sql("coalesce(q, 1)", "true"), _SPACED, _KM, _BEST_FIVE, _OPENED_FIVE, _SERVED))
+def p_median_default(spark, sf_dir):
+    """Five facilities out of thirty candidates, every set of them; lines without a quantity ask for one piece."""
+    sites = warehouse.candidate_sites(order_lines(spark, sf_dir, PLACE))
+    out = _rounded_stats(warehouse.p_median(gap_points(spark, sf_dir, "one"), sites))
+    return out.withColumn("objective", F.round("objective", 1))
+
+
+@query("w3_totals", on_lines(f"""
+SELECT CAST(5 AS INT) AS n_facilities, CAST(sum(customers) AS BIGINT) AS total_customers, round(sum(km * customers), 2) AS total_distance_km,
+  round(sum(km * customers) / sum(customers), 6) AS avg_distance_per_order_km, CAST(5 * 50000 AS DOUBLE) AS facility_cost
+FROM (SELECT *, {hav('lat', 'lon', 'f_lat', 'f_lon')} AS km FROM nearest)""", _POINTS, _SITES, _NEAREST))
+def facility_totals(spark, sf_dir):
+    totals = warehouse.facility_totals(warehouse.facility_stats(points(spark, sf_dir), FACILITIES), len(FACILITIES))
+    return totals.withColumns({"total_distance_km": F.round("total_distance_km", 2),
+                               "avg_distance_per_order_km": F.round("avg_distance_per_order_km", 6)})
+
+
+@query("w8_region_summary")
+def region_summary(spark, sf_dir):
+    return warehouse.region_summary(regional(spark, sf_dir))
+
+
 @query("w6_coverage", on_lines(f"""
 SELECT facility_id, n AS customers_in_range, round(n / total * 100, 2) AS coverage_pct, CAST(total - n AS BIGINT) AS customers_out_of_range
 FROM (SELECT CAST(id AS INT) AS facility_id, CAST(coalesce(sum(customers) FILTER (km <= {RADIUS_KM}), 0) AS BIGINT) AS n

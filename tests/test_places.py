@@ -79,7 +79,9 @@ def test_coverage_grows_with_radius(spark):
     assert seen == sorted(seen)
 
 
-def test_p_median_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("block", [10_000, 4])
+def test_p_median_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(warehouse, "SETS_PER_BLOCK", block)
     rows, sites = random_points(40, 6), [(a, b) for a, b, *_ in random_points(9, 7)]
 
     def cost(chosen):
@@ -87,15 +89,22 @@ def test_p_median_against_brute_force(spark, monkeypatch):
     best = min(itertools.combinations(range(9), 3), key=cost)
     chosen, objective = warehouse.p_median_sites(make(spark, rows), sites, 3)
     assert chosen == best and objective == pytest.approx(cost(best))
-    monkeypatch.setattr(warehouse, "EXACT_SETS", 1)
-    monkeypatch.setattr(warehouse, "SETS_PER_PASS", 4)
-    swapped, value = warehouse.p_median_sites(make(spark, rows), sites, 3)
+    swapped, value = warehouse.p_median_sites(make(spark, rows), sites, 3, method="exchange")
     assert value >= objective - 1e-6 and value == pytest.approx(cost(swapped))
     for out, new in itertools.product(swapped, range(9)):  # no exchange helps any more
         if new not in swapped:
             assert cost(set(swapped) - {out} | {new}) >= value * (1 - 1e-9)
 
 
+def test_missing_quantities(spark):
+    """A line without a quantity has demand 0, 1 or is left out, as asked for."""
+    df = spark.createDataFrame([(0.0, 0.0, 2), (4.0, 0.0, None)], "latitude double, longitude double, order_item_quantity int")
+    demand = {m: sorted(r["demand"] for r in warehouse.demand_points(df, missing=m).collect()) for m in ("zero", "one", "drop")}
+    assert demand == {"zero": [0, 2], "one": [1, 2], "drop": [2]}
+    row = warehouse.center_of_gravity(warehouse.demand_points(df, missing="drop")).first()
+    assert (row["total_customers"], row["avg_distance_km"]) == (1, 0.0)
+
+
 def test_candidates_are_spaced(spark):
     df = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS latitude", "CAST(100 - id AS DOUBLE) AS longitude")
     assert [a for a, _ in warehouse.candidate_sites(df, 4)] == [0.0, 33.0, 66.0, 99.0]
@@ -127,10 +136,10 @@ def test_kmeans_finds_the_best_split(spark):
         assert inertia(rows, got[k].centers) == pytest.approx(best(k), rel=1e-6)
 
 
-@pytest.mark.parametrize("limit", [20_000, 0])
+@pytest.mark.parametrize("limit", [32 << 20, 0])
 def test_grouped_kmeans_both_joins(spark, monkeypatch, limit):
     """Broadcast and salted joins give the same centres; costs match separate runs."""
-    monkeypatch.setattr(clustering, "BROADCAST_GROUPS", limit)
+    monkeypatch.setattr(clustering, "BROADCAST_BYTES", limit)
     rng = np.random.default_rng(9)
     rows = [(g, float(c + rng.normal(0, .2)), float(rng.normal(0, .2)), 1.0) for g in "ab" for c in (0, 10) for _ in range(10)]
     rows += [("one", 1.0, 1.0, 2.0)]
