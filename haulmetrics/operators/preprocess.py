@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from haulmetrics.functions.exprs import dbl, flag, nonzero
 from haulmetrics.functions.quantiles import exact_quantiles
+from haulmetrics.session import cut_lineage
 from haulmetrics.schema import CRITICAL_COLUMNS, ID_COLUMNS, NUMBER_COLUMNS, ONE_HOT_COLUMNS
 
 SPARSE_SHARE = 0.5
-MAX_LEVELS = 1_000
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -65,20 +65,16 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: found.get(c, "Unknown") for c in columns}
 
 
-def category_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct values per column; refuses columns that are not categories."""
+def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column, as many as there are: each becomes a column or a code."""
     if not columns:
         return {}
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                                 for c in columns]))
     distinct = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct()
-    rows = distinct.limit(limit * len(columns) + 1).collect()
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in distinct.collect():
         out[r["name"]].append(r["value"])
-    wide = [c for c, v in out.items() if len(v) > limit]
-    if wide or len(rows) > limit * len(columns):
-        raise ValueError(f"over {limit} levels, not a category: {wide or columns}")
     return {c: sorted(v) for c, v in out.items()}
 
 
@@ -209,10 +205,12 @@ STEPS: dict[str, Callable[[DataFrame, Profile], DataFrame]] = {
 }
 
 
-def fit(df: DataFrame, steps: Sequence[str] | None = None) -> Profile:
+def fit(df: DataFrame, steps: Sequence[str] | None = None, totals: DataFrame | None = None) -> Profile:
     """Learn drops, fills, the high-value threshold and category levels.
 
     Sparse columns are judged on all rows; everything else after incomplete rows are gone.
+    ``totals`` may give ``order_item_total`` of the same lines where that is cheaper to read;
+    it is used when no rows are dropped.
     """
     steps = list(STEPS) if steps is None else list(steps)
     profile = Profile()
@@ -233,7 +231,8 @@ def fit(df: DataFrame, steps: Sequence[str] | None = None) -> Profile:
             "order_item_total").try_cast("double")
         if "order_item_total" in profile.medians:
             total = F.coalesce(total, F.lit(profile.medians["order_item_total"]))
-        profile.high_value = exact_quantiles(kept, {"order_item_total": total}, [0.75])["order_item_total"][0]
+        source = totals if totals is not None and "handle_missing_values" not in steps else kept
+        profile.high_value = exact_quantiles(source, {"order_item_total": total}, [0.75])["order_item_total"][0]
     if "encode_categorical" in steps:
         profile.levels = category_levels(kept, [c for c in ONE_HOT_COLUMNS if c in kept.columns])
         for c, mode in profile.modes.items():
@@ -256,12 +255,18 @@ class Preprocessed:
     warnings: list[str]
 
 
-def preprocess(df: DataFrame, steps: Sequence[str] | None = None) -> Preprocessed:
-    """Run named steps in order; unknown names and failing steps become warnings."""
+def preprocess(df: DataFrame, steps: Sequence[str] | None = None, totals: DataFrame | None = None,
+               pin: bool = False) -> Preprocessed:
+    """Run named steps in order; unknown names and failing steps become warnings.
+
+    ``pin`` writes the input once before the passes that learn from it, for inputs that are
+    costlier to compute than to store.
+    """
+    df = cut_lineage(df) if pin else df
     wanted = list(STEPS) if steps is None else list(steps)
     warnings = [f"unknown step: {s}" for s in wanted if s not in STEPS]
     known = [s for s in wanted if s in STEPS]
-    profile = fit(df, known)
+    profile = fit(df, known, totals)
     applied, out = [], df
     for step in known:
         try:

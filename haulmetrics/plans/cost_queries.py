@@ -99,9 +99,13 @@ def mode_recommendation(spark, sf_dir):
     return costs.recommend_modes(df).select("line_key", "recommended_mode")
 
 
+def _thresholds(spark, sf_dir):
+    """Quantiles of one line column: they need no join."""
+    return costs.fit_thresholds(order_lines(spark, sf_dir, ["order_item_total"]))
+
+
 def _totals(spark, sf_dir):
-    df = lines(spark, sf_dir)
-    return costs.cost_totals(df, costs.fit_thresholds(df))
+    return costs.cost_totals(lines(spark, sf_dir), _thresholds(spark, sf_dir))
 
 
 @query("c6_recommendation_effect", on_lines("SELECT * FROM effect", _CUTS, _TOTALS, _EFFECT))
@@ -135,9 +139,22 @@ def recommendations(spark, sf_dir):
     return costs.recommendations(_totals(spark, sf_dir)).select("rule", "fired", F.round("value", 6).alias("value"))
 
 
-@query("c13_cost_report")
+@query("c13_cost_report", on_lines("""
+SELECT 'current_state' AS section, 'total_revenue' AS item, round(CAST(revenue AS DOUBLE), 2) AS value FROM sums
+UNION ALL SELECT 'current_state', 'total_profit', round(CAST(profit AS DOUBLE), 2) FROM sums
+UNION ALL SELECT 'current_state', 'estimated_shipping_cost', current_cost FROM effect
+UNION ALL SELECT 'current_state', 'profit_margin_pct', round(CAST(profit AS DOUBLE) / CAST(revenue AS DOUBLE) * 100, 2) FROM sums
+UNION ALL SELECT 'optimization', name, value FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM effect) ON COLUMNS(*) INTO NAME name VALUE value)
+UNION ALL SELECT 'policies', policy, total_cost FROM ranked
+UNION ALL SELECT 'recommendations', 'switch_modes', savings FROM effect WHERE savings > 0
+UNION ALL SELECT 'recommendations', 'best_policy', total_cost FROM ranked WHERE is_best = 1
+UNION ALL SELECT 'recommendations', 'late_rate', round(late / n * 100, 6) FROM totals WHERE late / n * 100 > 50
+UNION ALL SELECT 'recommendations', 'service_level', expected_service_level FROM effect WHERE expected_service_level < 0.7""",
+                                   _CUTS, _TOTALS, _EFFECT, _POLICIES, _RANKED,
+                                   ("sums", "SELECT sum(order_item_total) AS revenue, sum(order_profit) AS profit FROM ol")))
 def cost_report(spark, sf_dir):
-    return costs.cost_report(lines(spark, sf_dir))
+    report = costs.cost_report(lines(spark, sf_dir), _thresholds(spark, sf_dir))
+    return report.withColumn("value", F.round("value", 6))
 
 
 @query("s6_cost_result_table", on_lines("""

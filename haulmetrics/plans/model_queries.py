@@ -9,6 +9,7 @@ from haulmetrics.operators import delivery, preprocess as prep, risk
 from haulmetrics.plans.gaps import GAPS_SQL, gap_lines
 from haulmetrics.plans.metric_queries import rounded
 from haulmetrics.plans.registry import on_lines, query
+from haulmetrics.session import cut_lineage
 from haulmetrics.sources.star import order_lines
 
 # --- analysis -----------------------------------------------------------------
@@ -40,13 +41,19 @@ def delivery_by_month(spark, sf_dir):
     return rounded(delivery.delivery_by_month(df))
 
 
+_FILLED = ("order_item_quantity", "product_price", "sales", "order_month", "order_dayofweek", "order_hour", "shipping_month",
+           "shipping_dayofweek", "days_scheduled", "days_real")
+_PARTS = ("parts", """SELECT *, month(order_ts) AS order_month, isodow(order_ts) - 1 AS order_dayofweek, hour(order_ts) AS order_hour,
+  month(shipping_ts) AS shipping_month, isodow(shipping_ts) - 1 AS shipping_dayofweek FROM gaps""")
+
+
 @query("d5_feature_fill", on_lines("SELECT line_key, " + ", ".join(
-    f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM gaps)) AS {c}"
-    for c in ("order_item_quantity", "product_price", "sales", "days_scheduled", "days_real")) + " FROM gaps", GAPS_SQL))
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM parts)) AS {c}"
+    for c in _FILLED) + " FROM parts", GAPS_SQL, _PARTS))
 def feature_fill(spark, sf_dir):
-    features = ["order_item_quantity", "product_price", "sales", "days_scheduled"]
-    df = gap_lines(spark, sf_dir, ["line_key", *features, "days_real"])
-    return delivery.fill_features(df, delivery.fit_feature_fill(df, features), keep=["line_key"])
+    df = cut_lineage(prep.date_parts(gap_lines(spark, sf_dir, [
+        "line_key", "order_item_quantity", "product_price", "sales", "order_ts", "shipping_ts", "days_scheduled", "days_real"])))
+    return delivery.fill_features(df, delivery.fit_feature_fill(df), keep=["line_key"])
 
 
 @query("d6_iqr_filter", on_lines("""
@@ -70,15 +77,17 @@ def daily_series(spark, sf_dir):
 
 # --- delivery models ----------------------------------------------------------
 
-_FITTED: dict = {}
+# Full trees on lines whose target is noise grow to tens of thousands of leaves; the registered
+# queries stop at this depth to end in minutes. The operators' own default is the full depth.
+QUERY_DEPTH = 10
+
+
+def train_delivery(df, names=None):
+    return delivery.train_delivery_models(df, names, estimators=delivery.regressors(max_depth=QUERY_DEPTH))
 
 
-def fitted(kind: str, spark, sf_dir: str, make):
-    """Train once per session and input; several queries report on the same models."""
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _FITTED[key] = make()
-    return _FITTED[key]
+def train_risk(df, names=None):
+    return risk.train_risk_models(df, names, max_depth=QUERY_DEPTH)
 
 
 def delivery_lines(spark, sf_dir):
@@ -87,38 +96,34 @@ def delivery_lines(spark, sf_dir):
     return prep.date_parts(df)
 
 
-def delivery_models(spark, sf_dir):
-    return fitted("delivery", spark, sf_dir, lambda: delivery.train_delivery_models(delivery_lines(spark, sf_dir)))
-
-
-def delivery_cv(spark, sf_dir):
-    return fitted("cv", spark, sf_dir, lambda: delivery.cross_validate(delivery_lines(spark, sf_dir)))
-
-
 @query("d9_d10_delivery_models")
 def delivery_model_metrics(spark, sf_dir):
-    return delivery.model_metrics(spark, delivery_models(spark, sf_dir))
+    return delivery.model_metrics(spark, train_delivery(delivery_lines(spark, sf_dir)))
 
 
 @query("d11_cv_mae")
 def cv_mae(spark, sf_dir):
-    return delivery_cv(spark, sf_dir)
+    return delivery.cross_validate(delivery_lines(spark, sf_dir), estimators=delivery.regressors(max_depth=QUERY_DEPTH))
 
 
 @query("d12_feature_importance")
 def feature_importance(spark, sf_dir):
-    trained = delivery_models(spark, sf_dir)
+    trained = train_delivery(delivery_lines(spark, sf_dir), ["random_forest"])
     return delivery.feature_importance(spark, trained.models, trained.fill.features)
 
 
 @query("d13_score")
 def score(spark, sf_dir):
-    return delivery.predict_days(delivery_lines(spark, sf_dir), delivery_models(spark, sf_dir))
+    lines = delivery_lines(spark, sf_dir)
+    return delivery.predict_days(lines, train_delivery(lines, ["linear_regression"]))
 
 
 @query("d14_model_comparison")
 def model_comparison(spark, sf_dir):
-    return delivery.model_comparison(delivery_model_metrics(spark, sf_dir), delivery_cv(spark, sf_dir))
+    """The two quick models: five folds of boosting are what d11 runs."""
+    lines, names = delivery_lines(spark, sf_dir), ["linear_regression", "random_forest"]
+    folds = delivery.cross_validate(lines, names, estimators=delivery.regressors(max_depth=QUERY_DEPTH))
+    return delivery.model_comparison(delivery.model_metrics(spark, train_delivery(lines, names)), folds)
 
 
 @query("d16_forecast")
@@ -203,22 +208,28 @@ def risk_lines(spark, sf_dir):
     return prep.date_parts(df)
 
 
-def risk_models(spark, sf_dir):
-    return fitted("risk", spark, sf_dir, lambda: risk.train_risk_models(risk_lines(spark, sf_dir)))
-
-
 @query("r5_risk_models")
 def risk_model_metrics(spark, sf_dir):
-    return risk.risk_metrics_table(spark, risk_models(spark, sf_dir))
+    return risk.risk_metrics_table(spark, train_risk(risk_lines(spark, sf_dir)))
 
 
 @query("r9_risk_factors")
 def risk_factors(spark, sf_dir):
-    trained = risk_models(spark, sf_dir)
-    table = delivery.feature_importance(spark, {"rf": trained.models["rf"]}, trained.encoder.features)
+    trained = train_risk(risk_lines(spark, sf_dir), ["rf"])
+    table = delivery.feature_importance(spark, trained.models, trained.encoder.features)
     return table.where("rank <= 10").orderBy("rank")
 
 
 @query("r10_predict")
 def predict_risk(spark, sf_dir):
-    return risk.risk_segments(risk.predict_risk(risk_lines(spark, sf_dir), risk_models(spark, sf_dir)))
+    lines = risk_lines(spark, sf_dir)
+    return risk.risk_segments(risk.predict_risk(lines, train_risk(lines, ["logistic"])))
+
+
+@query("r12_top_critical", on_lines("""
+SELECT line_key, score AS risk_probability, 'Critical' AS risk_segment FROM (
+  SELECT line_key, (order_item_quantity % 50) / 50.0 AS score FROM ol) WHERE score > 0.8 ORDER BY score DESC, line_key LIMIT 5"""))
+def top_critical(spark, sf_dir):
+    df = order_lines(spark, sf_dir, ["line_key", "order_item_quantity"])
+    scored = df.select("line_key", ((F.col("order_item_quantity") % 50) / 50.0).alias("risk_probability"))
+    return risk.top_critical(risk.risk_segments(scored))

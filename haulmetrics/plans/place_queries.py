@@ -9,6 +9,7 @@ from haulmetrics.operators import metrics, routing, stops, warehouse
 from haulmetrics.plans.gaps import GAP_COLUMNS
 from haulmetrics.plans.metric_queries import rounded
 from haulmetrics.plans.registry import on_lines, query
+from haulmetrics.session import cut_lineage
 from haulmetrics.sources.star import order_lines
 
 PLACE = ("latitude", "longitude")
@@ -225,15 +226,23 @@ def top_regions(spark, sf_dir):
     return stops.top_regions(order_lines(spark, sf_dir, [REGION]), REGION)
 
 
+_AREA_SQL = "concat(customer_city, '/', customer_segment)"
+
+
 @query("g10_simple_routes", on_lines(f"""
 SELECT region, vehicle_id, round(d, 6) AS distance_km, num_stops, round(d / 40 * 60, 6) AS travel_time_min,
   CAST(num_stops * 10 AS DOUBLE) AS service_time_min, round(d / 40 * 60 + num_stops * 10, 6) AS total_time_min
 FROM (SELECT r.region, CAST(v.v AS INT) AS vehicle_id, CASE WHEN seq IS NULL THEN 0 ELSE 1 END AS num_stops,
         CASE WHEN seq IS NULL THEN 0 ELSE 2 * {hav('depot_lat', 'depot_lon', 'lat', 'lon')} END AS d
       FROM (SELECT DISTINCT region FROM stops) r CROSS JOIN range(3) v(v)
-      LEFT JOIN stops s ON s.region = r.region AND s.seq = v.v + 1)""", _stops_sql(2)))
+      LEFT JOIN stops s ON s.region = r.region AND s.seq = v.v + 1)""", ("every_stop", _stops_sql(STOPS, _AREA_SQL)[1]),
+                                        ("stops", "SELECT * FROM every_stop WHERE region IN (SELECT region FROM every_stop GROUP BY 1 HAVING count(*) <= 2)")))
 def simple_routes(spark, sf_dir):
-    return rounded(stops.simple_routes(region_stops(spark, sf_dir, 2)))
+    """Plain routes of the areas, a city's customer segments, with no more stops than vehicles but one."""
+    df = order_lines(spark, sf_dir, [*PLACE, "customer_city", "customer_segment"])
+    found = cut_lineage(stops.region_stops(df.withColumn("area", F.expr(_AREA_SQL)), "area", STOPS))
+    few = found.groupBy("region").count().where("count <= 2").select("region")
+    return rounded(stops.simple_routes(found.join(few, "region", "left_semi")))
 
 
 _ROUTES = ("routes", f"""SELECT region, vehicle_id, coalesce(sum(leg), 0) AS d, count(*) AS n FROM (

@@ -2,13 +2,43 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from haulmetrics.operators import preprocess as prep
-from haulmetrics.plans.gaps import CRITICAL_SQL, GAPS_SQL, gap_lines
+from haulmetrics.plans.gaps import CRITICAL_SQL, GAP_COLUMNS, GAPS_SQL, gap_lines
 from haulmetrics.plans.registry import on_lines, query
-from haulmetrics.sources import quality
-from haulmetrics.sources.star import order_lines
+from haulmetrics.schema import CSV_COLUMNS, NUMBER_COLUMNS
+from haulmetrics.session import ensure_checkpoint_dir
+from haulmetrics.sources import csv_lines, quality
+from haulmetrics.sources.star import COLUMNS, order_lines
+
+CSV_NAMES = {name: header for header, name, _ in CSV_COLUMNS}
+_TEXT_TIME = "M/d/yyyy H:mm"
+
+
+@query("s1_csv_scan", on_lines("SELECT " + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" if e in ("money", "double") else f"CAST({c} AS VARCHAR) AS {c}" if e == "time" else c
+    for c, e in (("line_key", ""), ("order_id", ""), ("customer_city", ""), ("shipping_mode", ""), ("market", ""), ("order_ts", "time"),
+                 ("shipping_ts", "time"), ("days_real", ""), ("days_scheduled", ""), ("late_delivery_risk", ""), ("latitude", "double"),
+                 ("longitude", "double"), ("order_item_quantity", ""), ("product_price", "money"), ("sales", "money"),
+                 ("order_item_discount", "money"), ("order_item_total", "money"), ("order_profit", "money"), ("sales_per_customer", "money"))
+    ) + " FROM ol"))
+def csv_scan(spark, sf_dir):
+    """The order lines written as a file of the reference layout and scanned again."""
+    columns = [c for c in COLUMNS if c in CSV_NAMES]
+    df = order_lines(spark, sf_dir, columns)
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/order-lines-{uuid.uuid4().hex}"
+    df.select(*[F.col(c).alias(CSV_NAMES[c]) for c in columns]).write.option("header", True).option("encoding", "ISO-8859-1").option(
+        "timestampNTZFormat", _TEXT_TIME).csv(path)
+    got = csv_lines.read_order_lines(spark, path)
+    return got.select("line_key", "order_id", "customer_city", "shipping_mode", "market", F.col("order_ts").cast("string").alias("order_ts"),
+                      F.col("shipping_ts").cast("string").alias("shipping_ts"), "days_real", "days_scheduled", "late_delivery_risk",
+                      "latitude", "longitude", "order_item_quantity", "product_price", "sales", "order_item_discount", "order_item_total",
+                      "order_profit", "sales_per_customer")
+
 
 # --- validation, profile, sample -------------------------------------------
 
@@ -23,9 +53,11 @@ def validation_findings(spark, sf_dir):
     return quality.validate(df)
 
 
-_PROFILED = (("order_id", "string"), ("order_ts", "timestamp_ntz"), ("days_real", "int"),
+_PROFILED = (("line_key", "string"), ("order_id", "string"), ("order_ts", "timestamp_ntz"), ("shipping_ts", "timestamp_ntz"),
+             ("days_real", "int"), ("days_scheduled", "int"), ("late_delivery_risk", "int"), ("customer_city", "string"),
              ("product_price", "decimal(12,2)"), ("order_item_quantity", "int"), ("sales", "decimal(12,2)"),
-             ("customer_segment", "string"))
+             ("order_item_total", "decimal(18,4)"), ("customer_segment", "string"), ("shipping_mode", "string"),
+             ("product_description", "string"))
 
 
 def _profile_sql() -> str:
@@ -61,10 +93,17 @@ def sample_rows(spark, sf_dir):
 
 # --- cleaning ---------------------------------------------------------------
 
-@query("p1_drop_sparse_columns", on_lines("SELECT line_key, customer_segment FROM gaps", GAPS_SQL))
+_MONEY = ("product_price", "sales", "order_item_total")
+_KEPT = [c for c in GAP_COLUMNS if c != "product_description"]
+
+
+@query("p1_drop_sparse_columns", on_lines("SELECT " + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" if c in _MONEY else f"CAST({c} AS VARCHAR) AS {c}" if c.endswith("_ts") else c for c in _KEPT)
+    + " FROM gaps", GAPS_SQL))
 def drop_sparse_columns(spark, sf_dir):
-    df = gap_lines(spark, sf_dir, ["line_key", "customer_segment", "product_description"])
-    return df.drop(*prep.sparse_columns(prep.null_rates(df)))
+    df = gap_lines(spark, sf_dir)
+    kept = df.drop(*prep.sparse_columns(prep.null_rates(df)))
+    return kept.withColumns({c: F.col(c).cast("double" if c in _MONEY else "string") for c in kept.columns if c in _MONEY or c.endswith("_ts")})
 
 
 @query("p2_drop_critical", on_lines(
@@ -86,7 +125,7 @@ FROM kept, (SELECT quantile_cont(CAST(order_item_quantity AS DOUBLE), 0.5) AS mq
                    quantile_cont(CAST(sales AS DOUBLE), 0.5) AS ms FROM kept)""", GAPS_SQL, CRITICAL_SQL))
 def median_fill(spark, sf_dir):
     df = gap_lines(spark, sf_dir, ["line_key", "order_item_quantity", "sales", *prep.CRITICAL_COLUMNS])
-    return prep.preprocess(df, _FILL).data.select("line_key", "order_item_quantity", "sales")
+    return prep.preprocess(df, _FILL, pin=True).data.select("line_key", "order_item_quantity", "sales")
 
 
 def _mode_sql(c: str) -> str:
@@ -98,25 +137,24 @@ SELECT line_key, coalesce(customer_segment, {_mode_sql('customer_segment')}) AS
   coalesce(shipping_mode, {_mode_sql('shipping_mode')}) AS shipping_mode FROM kept""", GAPS_SQL, CRITICAL_SQL))
 def mode_fill(spark, sf_dir):
     df = gap_lines(spark, sf_dir, ["line_key", "customer_segment", "shipping_mode", *prep.CRITICAL_COLUMNS])
-    return prep.preprocess(df, _FILL).data.select("line_key", "customer_segment", "shipping_mode")
+    return prep.preprocess(df, _FILL, pin=True).data.select("line_key", "customer_segment", "shipping_mode")
 
 
-_RAW_TEXT = ("raw", """SELECT line_key, CAST(order_id AS BIGINT) AS order_id,
-  CASE WHEN CAST(order_id AS BIGINT) % 23 = 0 THEN 'x' ELSE CAST(sales AS VARCHAR(20)) END AS sales,
-  CASE WHEN CAST(order_id AS BIGINT) % 29 = 0 THEN '' ELSE CAST(order_item_quantity AS VARCHAR(20)) END AS order_item_quantity
-FROM ol""")
+_NUMBERS = {c: 23 + 2 * i for i, c in enumerate(NUMBER_COLUMNS)}
+_RAW_TEXT = ("raw", "SELECT line_key, CAST(order_id AS BIGINT) AS order_id, " + ", ".join(
+    f"CASE WHEN CAST(order_id AS BIGINT) % {k} = 0 THEN '{'x' if k % 4 == 3 else ''}' ELSE CAST({c} AS VARCHAR(20)) END AS {c}"
+    for c, k in _NUMBERS.items()) + " FROM (SELECT *, order_profit AS benefit_per_order FROM ol)")
 
 
-@query("p5_clean_types", on_lines("""
-SELECT line_key, CAST(order_id AS VARCHAR) AS order_id, TRY_CAST(sales AS DOUBLE) AS sales,
-  TRY_CAST(order_item_quantity AS DOUBLE) AS order_item_quantity FROM raw""", _RAW_TEXT))
+@query("p5_clean_types", on_lines("SELECT line_key, CAST(order_id AS VARCHAR) AS order_id, " + ", ".join(
+    f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in _NUMBERS) + " FROM raw", _RAW_TEXT))
 def clean_types(spark, sf_dir):
-    df = order_lines(spark, sf_dir, ["line_key", "order_id", "sales", "order_item_quantity"])
+    """All number columns as text with bad cells in each."""
+    df = order_lines(spark, sf_dir, ["line_key", "order_id", *[c for c in _NUMBERS if c != "benefit_per_order"]]).withColumn(
+        "benefit_per_order", F.col("order_profit"))
     number = F.col("order_id").cast("bigint")
-    raw = df.select("line_key", number.alias("order_id"),
-                    F.when(number % 23 == 0, "x").otherwise(F.col("sales").cast("string")).alias("sales"),
-                    F.when(number % 29 == 0, "").otherwise(F.col("order_item_quantity").cast("string"))
-                    .alias("order_item_quantity"))
+    raw = df.select("line_key", number.alias("order_id"), *[
+        F.when(number % k == 0, "x" if k % 4 == 3 else "").otherwise(F.col(c).cast("string")).alias(c) for c, k in _NUMBERS.items()])
     return prep.clean_types(raw)
 
 
@@ -186,7 +224,8 @@ SELECT line_key, CAST(CAST(order_item_total AS DOUBLE) > q75 AS INT) AS is_high_
 FROM ol, (SELECT quantile_cont(CAST(order_item_total AS DOUBLE), 0.75) AS q75 FROM ol)"""))
 def risk_score(spark, sf_dir):
     df = order_lines(spark, sf_dir, ["line_key", "order_item_total", "days_real", "days_scheduled"])
-    out = prep.preprocess(df, ["create_delivery_features", "create_risk_features"]).data
+    totals = order_lines(spark, sf_dir, ["order_item_total"])
+    out = prep.preprocess(df, ["create_delivery_features", "create_risk_features"], totals).data
     return out.select("line_key", "is_high_value_order", "is_rush_order", "risk_score")
 
 
@@ -198,6 +237,9 @@ _LEVELS = {
     "shipping_mode": ("Same Day", "Second Class", "Standard Class"),
     "order_status": ("O", "P"),
     "order_region": ("AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
+    "market": ("AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
+    "category_name": ("LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"),
+    "department_name": tuple(sorted(f"Brand#{i}" for i in range(1, 26)))[1:],
 }
 
 

@@ -31,11 +31,13 @@ SINGLE_TOUR_POINTS = 15
 SEED = 42
 TEST_PERCENT = 20
 CV_FOLDS = 5
+FULL_DEPTH = 30  # the deepest trees that Spark grows
 FORECAST_DAYS = 30
 
-MONEY = T.DecimalType(12, 2)
+# Money in files has more digits than cents in places; a double keeps them.
+MONEY = T.DoubleType()
 
-# (header in the CSV file, column name here, type)
+# Fixed values: (header in the CSV file, column name here, type)
 CSV_COLUMNS = (
     ("Type", "payment_type", T.StringType()),
     ("Days for shipping (real)", "days_real", T.IntegerType()),
@@ -75,6 +77,21 @@ CSV_COLUMNS = (
     ("Product Price", "product_price", MONEY),
     ("shipping date (DateOrders)", "shipping_ts", T.TimestampNTZType()),
     ("Shipping Mode", "shipping_mode", T.StringType()),
+    ("Benefit per order", "benefit_per_order", MONEY),
+    ("Customer Email", "customer_email", T.StringType()),
+    ("Customer Fname", "customer_first_name", T.StringType()),
+    ("Customer Lname", "customer_last_name", T.StringType()),
+    ("Customer Password", "customer_password", T.StringType()),
+    ("Customer Street", "customer_street", T.StringType()),
+    ("Order Item Cardprod Id", "order_item_product_id", T.StringType()),
+    ("Order Item Discount Rate", "order_item_discount_rate", T.DoubleType()),
+    ("Order Item Product Price", "order_item_product_price", MONEY),
+    ("Order Item Profit Ratio", "order_item_profit_ratio", T.DoubleType()),
+    ("Product Category Id", "product_category_id", T.StringType()),
+    ("Product Description", "product_description", T.StringType()),
+    ("Product Image", "product_image", T.StringType()),
+    ("Product Name", "product_name", T.StringType()),
+    ("Product Status", "product_status", T.IntegerType()),
 )
 
 REQUIRED_COLUMNS = (

@@ -15,15 +15,25 @@ def csv_schema(spark: SparkSession, path: str, encoding: str, delimiter: str) ->
     return T.StructType([T.StructField(h, declared.get(h, T.StringType())) for h in header])
 
 
+BAD_RECORD = "bad_record"
+
+
 def read_order_lines(spark: SparkSession, path: str, timestamp_format: str = "M/d/yyyy H:mm",
                      encoding: str = "ISO-8859-1", delimiter: str = ",",
-                     rename: bool = True, **options) -> DataFrame:
+                     rename: bool = True, bad_cells: str = "fail", **options) -> DataFrame:
     """Scan with declared types; a missing file is an error, extra options win.
 
     The header line fixes the column order, so only its first line is read up front; the
-    scan itself infers nothing.
+    scan itself infers nothing. A cell that its type can't hold stops the scan, or with
+    ``bad_cells="report"`` becomes null while ``bad_record`` has the whole line.
     """
-    reader = (spark.read.schema(csv_schema(spark, path, encoding, delimiter))
+    if bad_cells not in ("fail", "report"):
+        raise ValueError(f"unknown treatment of bad cells: {bad_cells}")
+    schema = csv_schema(spark, path, encoding, delimiter)
+    if bad_cells == "report":
+        schema = schema.add(BAD_RECORD, T.StringType())
+    reader = (spark.read.schema(schema).option("mode", "FAILFAST" if bad_cells == "fail" else "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", BAD_RECORD)
               .option("header", True).option("encoding", encoding).option("sep", delimiter)
               .option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
               .options(**options))

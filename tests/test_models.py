@@ -82,9 +82,13 @@ def test_run_isolates_failures(spark, small):
 
     def broken(df):
         raise RuntimeError("no luck")
-    run = run_all.run_selected(shared, ["cost_optimization", "broken", "unknown"],
-                               {"cost_optimization": run_all.cost_findings, "broken": broken})
+
+    def silent(df):
+        raise RuntimeError
+    run = run_all.run_selected(shared, ["cost_optimization", "broken", "silent", "unknown"],
+                               {"cost_optimization": run_all.cost_findings, "broken": broken, "silent": silent})
     status = {r["analysis"]: (r["status"], r["error"]) for r in run.status.collect()}
     assert status["cost_optimization"] == ("success", None) and status["broken"] == ("failed", "no luck")
+    assert status["silent"] == ("failed", "RuntimeError()")
     assert status["unknown"][0] == "failed"
     assert run.findings.where("analysis = 'cost_optimization'").count() == 2

@@ -75,8 +75,12 @@ def test_levels(spark):
     out = prep.preprocess(df, ["encode_categorical"]).data
     assert out.columns == ["shipping_mode", "shipping_mode_b", "shipping_mode_c"]
     assert [tuple(r)[1:] for r in out.collect()] == [(1, 0), (0, 0), (0, 1), (0, 0)]
-    with pytest.raises(ValueError):
-        prep.category_levels(df, ["shipping_mode"], limit=2)
+
+
+def test_any_number_of_levels(spark):
+    df = spark.range(1500).selectExpr("CAST(id AS STRING) AS market")
+    assert len(prep.category_levels(df, ["market"])["market"]) == 1500
+    assert prep.preprocess(df, ["encode_categorical"]).applied == ["encode_categorical"]
 
 
 def test_unknown_and_failing_steps(spark):

@@ -19,13 +19,27 @@ def test_csv_scan(spark, tmp_path):
     df = csv_lines.read_order_lines(spark, str(path))
     types = dict(df.dtypes)
     assert (types["order_id"], types["order_ts"], types["sales"], types["days_real"], types["Extra, col"]) == (
-        "string", "timestamp_ntz", "decimal(12,2)", "int", "string")
+        "string", "timestamp_ntz", "double", "int", "string")
     rows = df.orderBy("order_id").collect()
     assert rows[0]["customer_city"] == "Málaga" and str(rows[0]["order_ts"]) == "2018-01-31 22:56:00"
     assert rows[1]["customer_city"] == "San, Juan" and rows[1]["sales"] is None
     assert "Order Id" in csv_lines.read_order_lines(spark, str(path), rename=False).columns
 
 
+def test_bad_cells_are_an_error_or_reported(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("Order Id,Sales,Order Item Quantity,Benefit per order\n1,314.6400146,2,12345678901.5\n2,7.5,x,1\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_lines.read_order_lines(spark, str(path)).collect()
+    rows = csv_lines.read_order_lines(spark, str(path), bad_cells="report").orderBy("order_id").collect()
+    assert (rows[0]["sales"], rows[0]["benefit_per_order"], rows[0]["bad_record"]) == (314.6400146, 12345678901.5, None)
+    assert (rows[1]["sales"], rows[1]["order_item_quantity"], rows[1]["bad_record"]) == (7.5, None, "2,7.5,x,1")
+
+
+def test_declared_columns():
+    assert len(CSV_COLUMNS) == 53
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)not.?exist|path"):
         csv_lines.read_order_lines(spark, str(tmp_path / "none.csv")).count()
