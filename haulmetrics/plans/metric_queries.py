@@ -35,6 +35,15 @@ def delivery_kpis(spark, sf_dir):
     return rounded(metrics.delivery_kpis(order_lines(spark, sf_dir, ["days_real", "late_delivery_risk"])))
 
 
+@query("m1_delivery_kpis_predicted", on_lines(f"""
+SELECT {_DELIVERY}, round(avg(abs(e)), 6) AS prediction_mae, round(sqrt(avg(e * e)), 6) AS prediction_rmse,
+  round(1 - sum(e * e) / (var_pop(days_real) * count(*)), 6) AS prediction_r2
+FROM (SELECT *, CAST(days_real - days_scheduled AS DOUBLE) AS e FROM ol)"""))
+def delivery_kpis_predicted(spark, sf_dir):
+    df = order_lines(spark, sf_dir, ["days_real", "days_scheduled", "late_delivery_risk"])
+    return rounded(metrics.delivery_kpis(df, predicted="days_scheduled"))
+
+
 @query("m2_cost_kpis", on_lines(f"SELECT {_COST} FROM ol"))
 def cost_kpis(spark, sf_dir):
     return rounded(metrics.cost_kpis(order_lines(spark, sf_dir, ["sales", "order_profit"])))
@@ -60,6 +69,24 @@ def regression_errors(spark, sf_dir):
     return out.withColumn("mape", F.round("mape", 0))
 
 
+@query("m4_errors_of_late_days", on_lines("""
+SELECT round(avg(abs(e)), 6) AS mae, round(avg(abs(e / (y + 1e-10))) * 100, 6) AS mape
+FROM (SELECT CAST(days_real AS DOUBLE) AS y, CAST(days_real - days_scheduled AS DOUBLE) AS e FROM ol WHERE days_real > 0)"""))
+def errors_of_late_days(spark, sf_dir):
+    """The relative error where the target is not zero, all digits compared."""
+    df = order_lines(spark, sf_dir, ["days_real", "days_scheduled"]).where("days_real > 0")
+    return rounded(metrics.regression_errors(df, "days_real", "days_scheduled").select("mae", "mape"))
+
+
+@query("m5_accuracy_of_class_scores", on_lines("""
+SELECT round(avg(CAST(CAST(days_scheduled > 2 AS INT) = late_delivery_risk AS INT)), 6) AS accuracy FROM ol"""))
+def accuracy_of_class_scores(spark, sf_dir):
+    """One score for each class; the larger one decides, the first of equals."""
+    df = order_lines(spark, sf_dir, ["days_scheduled", "late_delivery_risk"])
+    scores = F.array((4 - F.col("days_scheduled")).cast("double"), F.col("days_scheduled").cast("double"))
+    return rounded(metrics.accuracy(df.select("late_delivery_risk", scores.alias("scores")), "late_delivery_risk", "scores"))
+
+
 @query("m5_accuracy", on_lines("""
 SELECT round(avg(CAST(CAST(days_scheduled / 4.0 >= 0.5 AS INT) = late_delivery_risk AS INT)), 6) AS accuracy FROM ol"""))
 def accuracy(spark, sf_dir):

@@ -176,6 +176,20 @@ def classification_metrics(spark, sf_dir):
     return rounded(risk.mark_best(risk.classification_metrics(_confusion(spark, sf_dir))))
 
 
+@query("r6_roc_auc", on_lines("""
+SELECT model, round((sum(r) FILTER (late_delivery_risk = 1) - p * (p + 1) / 2) / (p * (n - p)), 6) AS roc_auc FROM (
+  SELECT model, late_delivery_risk, rank() OVER (PARTITION BY model ORDER BY score) + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS r,
+    CAST(sum(late_delivery_risk) OVER (PARTITION BY model) AS DOUBLE) AS p, CAST(count(*) OVER (PARTITION BY model) AS DOUBLE) AS n
+  FROM scores) GROUP BY model, p, n""", ("scores", _SCORES)))
+def roc_auc(spark, sf_dir):
+    df = order_lines(spark, sf_dir, ["late_delivery_risk", "days_scheduled", "order_item_quantity"])
+    sched = F.col("days_scheduled") / 4.0
+    scores = {"scheduled": sched, "urgency": 1 - sched, "quantity": F.col("order_item_quantity") / 50.0}
+    rows = [(m, risk.roc_auc(df.select(dbl("late_delivery_risk").alias("late_delivery_risk"), s.cast("double").alias("score")), score="score"))
+            for m, s in scores.items()]
+    return rounded(spark.createDataFrame(rows, "model string, roc_auc double"))
+
+
 @query("r7_confusion_matrix", on_lines("SELECT model, tn, fp, fn, tp FROM confusion", ("scores", _SCORES), _CONFUSION))
 def confusion_matrix(spark, sf_dir):
     return _confusion(spark, sf_dir).drop("model_order")

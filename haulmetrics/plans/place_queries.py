@@ -295,9 +295,19 @@ def route_kpis(spark, sf_dir):
 
 # --- routes -------------------------------------------------------------------
 
-@query("g6_nearest_neighbour")
+_WALK = ("walk", """SELECT region, 0 AS step, 0 AS node, [0] AS seen FROM stops GROUP BY region
+  UNION ALL SELECT region, step, j, list_append(seen, j) FROM (
+    SELECT w.region, w.step + 1 AS step, e.j, w.seen, row_number() OVER (PARTITION BY w.region ORDER BY e.km, e.j) AS place
+    FROM walk w JOIN edges e ON e.region = w.region AND e.i = w.node WHERE NOT list_contains(w.seen, e.j)) WHERE place = 1""")
+_TOUR = ("tour", """SELECT region, step, node FROM walk UNION ALL SELECT region, max(step) + 1, 0 FROM walk GROUP BY region""")
+
+
+@query("g6_nearest_neighbour", on_lines("""
+SELECT tour.region, 0 AS vehicle_id, step AS stop_seq, node AS loc_seq, round(lat, 6) AS lat, round(lon, 6) AS lon, CAST(node = 0 AS INT) AS is_depot
+FROM tour JOIN nodes ON nodes.region = tour.region AND nodes.i = tour.node""", _stops_sql(30), _NODES, _EDGES, _WALK, _TOUR).replace(
+    "WITH ", "WITH RECURSIVE ", 1))
 def nearest_neighbour(spark, sf_dir):
-    return routing.tour_stops(routing.one_vehicle(region_stops(spark, sf_dir, 30)), "nearest_neighbor")
+    return rounded(routing.tour_stops(routing.one_vehicle(region_stops(spark, sf_dir, 30)), "nearest_neighbor"))
 
 
 @query("g7_two_opt")
