@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmetrics.llm.shared import written
@@ -30,6 +30,7 @@ UNITS = (
     "liters litre litres gallon gallons s sec second seconds minute minutes h hour hours day days week weeks month months "
     "year years dollar dollars euro euros cent cents percent degree degrees watt watts volt volts meter meters metre metres"
 ).split()
+MARKS = (".", "!", "?")
 TOKEN = r"\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,]\p{N}+)*|[.!?]"
 
 
@@ -38,48 +39,69 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def template(text: Column) -> Column:
-    """Tokens as structs ``c, v``: template token and, in a slot, the value (else null).
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+
+
+def _slot(token: Column, low: Column, before: Callable[[], Column], i: Column) -> Column:
+    """``<num>``, ``<unit>`` after a number, ``<name>`` for a capitalised word inside a sentence, else null.
 
-    A number is ``<num>``, a unit word after a number ``<unit>``, a capitalised word inside a
-    sentence ``<name>``; words all in capitals and any other word are lower-cased literals.
+    Words all in capitals are no names. The commonest case, a plain word, fails every test early.
     """
-    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+    return (F.when(token.between("0", "9\uffff"), "<num>")
+            .when(low.isin(UNITS) & before().between("0", "9\uffff"), "<unit>")
+            .when((token != low) & (i > 0) & ~before().isin(*MARKS)
+                  & ((token != F.upper(token)) | (F.length(token) == 1)), "<name>"))
+
+
+def template(text: Column) -> Column:
+    """Template tokens of a text: placeholders, and lower-cased words as they are."""
+    def typed(tokens: Column) -> Column:
+        def one(token: Column, i: Column) -> Column:
+            return _let(F.lower(token), lambda low: F.coalesce(_slot(token, low, lambda: F.get(tokens, i - 1), i), low))
+        return F.filter(F.transform(tokens, one), lambda t: ~t.isin(*MARKS))
+    return _let(_tokens(text), typed)
+
 
-    def typed(all_tokens: Column) -> Column:
+def slot_values(text: Column) -> Column:
+    """For every template token the value that its placeholder stands for, null for a word."""
+    def typed(tokens: Column) -> Column:
         def one(token: Column, i: Column) -> Column:
-            low, before = F.lower(token), F.get(all_tokens, i - 1)
-            slot = (F.when(token.between("0", "9￿"), "<num>")
-                    .when(before.between("0", "9￿") & low.isin(UNITS), "<unit>")
-                    .when((token != low) & (i > 0) & ~before.isin(".", "!", "?")
-                          & ((token != F.upper(token)) | (F.length(token) == 1)), "<name>"))
-            return F.struct(F.coalesce(slot, low).alias("c"), F.when(slot.isNotNull(), low).alias("v"))
-        return F.filter(F.transform(all_tokens, one), lambda t: ~t["c"].isin(".", "!", "?"))
-    return _let(tokens, typed)
+            low = F.lower(token)
+            slot = _slot(token, low, lambda: F.get(tokens, i - 1), i)
+            return F.struct(low.alias("low"), F.when(slot.isNotNull(), low).alias("v"))
+        return F.filter(F.transform(tokens, one), lambda t: ~t["low"].isin(*MARKS))["v"]
+    return _let(_tokens(text), typed)
 
 
-def windows(text: Column, width: int = WINDOW) -> Column:
-    """Array of structs ``h, v`` in text order: hash of a window's template, values of its slots.
+def window_hashes(text: Column, width: int = WINDOW) -> Column:
+    """Hash of every window of the template, in text order; of a shorter text the hash of the whole, if any."""
+    return _let(template(text), lambda tokens: F.when(F.size(tokens) > 0, F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(tokens) - width + 1, F.lit(1))),
+        lambda start: F.xxhash64(F.slice(tokens, start, width)))))
 
-    A text of fewer tokens is one window if it has any. Windows with fewer than LITERALS
-    plain words (or than half the text, if that is shorter) have the hash null.
-    """
-    def cut(tokens: Column) -> Column:
-        def window(start: Column) -> Column:
-            return _let(F.slice(tokens, start, width), lambda w: _let(F.filter(w["v"], lambda v: v.isNotNull()), lambda v: F.struct(
-                F.when(F.size(w) - F.size(v) >= F.least(F.lit(LITERALS), F.ceil(F.size(w) / 2)), F.xxhash64(w["c"])).alias("h"),
-                F.when(F.size(v) > 0, v).alias("v"))))
-        count = F.greatest(F.size(tokens) - width + 1, F.lit(1))
-        return F.when(F.size(tokens) > 0, F.transform(F.sequence(F.lit(1), count), window))
-    return _let(template(text), cut)
+
+def _window_values(values: Column, start: Column, width: int = WINDOW) -> Column:
+    """Values of the slots of one window, in order; null if it has none."""
+    own = F.filter(F.slice(values, start, width), lambda v: v.isNotNull())
+    return F.when(F.size(own) > 0, own)
 
 
 def benchmark_windows(benchmark: DataFrame, text_col: str = "text", id_col: str = "item_id") -> DataFrame:
-    """``h, item_id, at, slots, n_windows``; items with equal windows and values are one, the smallest id."""
-    items = benchmark.select(F.col(id_col).alias("item_id"), windows(F.col(text_col)).alias("w")).filter("w is not null")
-    same = items.groupBy("w").agg(F.min("item_id").alias("item_id")).filter("item_id is not null")
-    usable = same.select("item_id", F.expr("size(filter(w, x -> x.h is not null))").alias("n_windows"), F.posexplode("w").alias("at", "x"))
-    return usable.select(F.col("x.h").alias("h"), "item_id", "at", F.col("x.v").alias("slots"), "n_windows").filter("h is not null")
+    """``h, item_id, at, slots, n_windows`` of the windows that are evidence.
+
+    Those have LITERALS plain words, or half their tokens if the text is shorter than a
+    window. Items with equal windows and values are one, with the smallest id.
+    """
+    items = benchmark.select(F.col(id_col).alias("item_id"), window_hashes(F.col(text_col)).alias("hashes"),
+                             slot_values(F.col(text_col)).alias("values")).filter("hashes is not null")
+    same = items.groupBy("hashes", "values").agg(F.min("item_id").alias("item_id")).filter("item_id is not null")
+    cut = same.select("item_id", "values", F.posexplode("hashes").alias("at", "h")).select(
+        "item_id", "at", "h", _window_values(F.col("values"), F.col("at") + 1).alias("slots"),
+        F.least(F.size("values"), F.lit(WINDOW)).alias("tokens"))
+    plain = F.col("tokens") - F.coalesce(F.size("slots"), F.lit(0))
+    used = cut.filter(plain >= F.least(F.lit(LITERALS), F.ceil(F.col("tokens") / 2))).drop("tokens")
+    return used.withColumn("n_windows", F.count("*").over(Window.partitionBy("item_id")))
 
 
 def text_key(text: Column) -> list[Column]:
@@ -98,14 +120,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similar
     table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
     if table.count() <= BROADCAST_WINDOWS:
         table = F.broadcast(table)
-    whole = windows(F.col(text_col))
-    exploded = docs.select(*text_key(F.col(text_col)), F.posexplode(whole).alias("pos", "x")).select(
-        "k1", "k2", "pos", F.col("x.h").alias("h"), F.col("x.v").alias("values"))
-    hits = exploded.filter("h is not null").join(table, "h").select(
-        "k1", "k2", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "n_windows", "slots", "values")
-    pairs = F.when(F.col("slots").isNotNull(), F.arrays_zip(F.col("slots").alias("item"), F.col("values").alias("doc")))
-    segments = hits.groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
-        F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
+    exploded = keyed.select("k1", "k2", F.posexplode(window_hashes(F.col("text"))).alias("pos", "h"))
+    hits = written(exploded.join(table, "h").select(
+        "k1", "k2", "item_id", "pos", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "n_windows", "slots").distinct(), "hits")
+    # Values are looked up in the texts only where a window with slots matched.
+    slotted = hits.filter("slots is not null")
+    wanted = written(slotted.select("k1", "k2").distinct(), "texts-with-slots")
+    texts = keyed.join(wanted, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text")).select(
+        "k1", "k2", slot_values(F.col("text")).alias("values"))
+    filled = slotted.join(written(texts, "slot-values"), ["k1", "k2"]).withColumn("pairs", F.arrays_zip(
+        F.col("slots").alias("item"), _window_values(F.col("values"), F.col("pos") + 1).alias("doc"))).drop("values")
+    plain = hits.filter("slots is null").withColumn("pairs", F.lit(None).cast(filled.schema["pairs"].dataType))
+    segments = plain.unionByName(filled).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
+        F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = segments.filter(F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item"))))
     found = consistent.groupBy("k1", "k2", "item_id", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("seen"), F.max(F.size("ats")).alias("run"))

@@ -71,11 +71,11 @@ def test_leaks_copied_reset_and_with_new_values(spark, bench):
 def test_windows_equal_a_plain_version(spark):
     texts = [ITEM, "Then Nora walked 5 km. Then 7,5 days of rain! A NATO talk", "one", "", None, "a b c d e f"]
     got = [r["c"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(
-        decontamination.template(F.col("t"))["c"].alias("c")).collect()]
+        decontamination.template(F.col("t")).alias("c")).collect()]
     assert got[1] == "then <name> walked <num> <unit> then <num> <unit> of rain a nato talk".split()
     assert got[0][:6] == ["nora", "buys", "<num>", "apples", "for", "<num>"] and got[3] == got[4] == []
     sizes = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(
-        F.size(decontamination.windows(F.col("t")))).collect()]
+        F.size(decontamination.window_hashes(F.col("t")))).collect()]
     assert sizes == [len(got[0]) - 4, len(got[1]) - 4, 1, -1, -1, 2] or sizes == [len(got[0]) - 4, len(got[1]) - 4, 1, None, None, 2]
 
 
