@@ -48,15 +48,15 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: list[Column], bu
     column and those above; null and negative ones count as zero and get nothing.
     """
     sized = leaves.withColumn("capacity", F.col("tokens") * max_epochs)
-    # One row without a key: the sum of the leaves is one number.
-    shares = sized.agg(budget.cast("double").alias("budget")).withColumn("all", F.lit(1))
-    above: list[str] = ["all"]
+    whole = sized.agg(budget.cast("double")).first()[0]
+    shares = None
     for depth, (level, weight) in enumerate(zip(levels, weights, strict=True)):
-        nodes = sized.withColumn("all", F.lit(1)).groupBy("all", *levels[:depth + 1]).agg(F.sum("capacity").alias("capacity"))
+        above = levels[:depth]
+        nodes = sized.groupBy(*above, level).agg(F.sum("capacity").alias("capacity"))
         weighed = nodes.withColumn("weight", F.greatest(F.coalesce(weight, F.lit(0)), F.lit(0)))
-        shares = written(_pour(weighed.join(shares, above), above, level).select(*above, level, "budget"), "budgets")
-        above = [*above, level]
-    return sized.join(shares.drop("all"), levels).drop("capacity").withColumn(
+        funded = weighed.withColumn("budget", F.lit(whole)) if shares is None else weighed.join(shares, above)
+        shares = written(_pour(funded, above, level).select(*above, level, "budget"), "budgets")
+    return sized.join(shares, levels).drop("capacity").withColumn(
         "budget", F.floor(F.col("budget") + F.lit(1e-6)).cast("long"))
 
 
