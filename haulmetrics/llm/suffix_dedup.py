@@ -15,7 +15,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,10 +38,11 @@ BUFFER = 1 << 19
 PLACE_BITS = np.uint64(20)
 # Starts of one piece, bytes of pieces sorted at once, and different pieces of a bucket sorted together.
 PIECE_STARTS = 2_048
-BLOCK_TEXT = 2 << 20
+BLOCK_TEXT = 1 << 20
 BUCKET_PIECES = 2_048
 BITS_PER_PIECE = 16
 MAX_FILTER_BYTES = 64 << 20
+ROWS_AT_ONCE = 500
 _FACTOR = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -330,21 +330,26 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, max_filter_bytes: int
     return whole.unionByName(parts).distinct()
 
 
-def _cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for data, ranges in zip(batch["data"], batch["ranges"], strict=True):
-            merged: list[list[int]] = []
-            for begin, end in sorted((r["begin"], r["end"]) for r in (ranges if ranges is not None else [])):
-                if merged and begin <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], end)
-                else:
-                    merged.append([begin, end])
-            edges = [0, *(e for span in merged for e in span), len(data)]
-            kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            rows.append((sum(b - a for a, b in merged), len(merged), kept))
-        batch["n_removed"], batch["n_spans"], batch["kept"] = zip(*rows, strict=True) if rows else ([], [], [])
-        yield batch[["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]]
+def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``doc_id, n_bytes, data, ranges`` without the ranges, some hundred at once."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+            batch = whole.slice(at, ROWS_AT_ONCE)
+            rows = []
+            for data, ranges in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                merged: list[list[int]] = []
+                for begin, end in sorted((r["begin"], r["end"]) for r in ranges or []):
+                    if merged and begin <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], end)
+                    else:
+                        merged.append([begin, end])
+                edges = [0, *(e for span in merged for e in span), len(data)]
+                rows.append((sum(b - a for a, b in merged), len(merged),
+                             b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))))
+            removed, spans, kept = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text", id_col: str = "doc_id",
@@ -364,5 +369,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2"),
                        F.octet_length(whole).cast("long").alias("n_bytes"), whole.cast("binary").alias("data"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.join(ranges, ["k1", "k2"], "left").select("doc_id", "n_bytes", "data", "ranges").mapInPandas(
+    return rows.join(ranges, ["k1", "k2"], "left").select("doc_id", "n_bytes", "data", "ranges").mapInArrow(
         _cut_out, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
