@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
+from haulmetrics.llm.decontamination import UNITS
+
 
 def url_filters(entries: str, host: str) -> str:
     path = r"^[^/?#]*//[^/?#]*([^?#]*)"
@@ -12,7 +14,7 @@ WITH pg AS (SELECT page_id, DATE '2024-01-01' + CAST(page_id % 366 AS INT) AS da
             regexp_replace(lower(coalesce(regexp_extract(url, '{host}', 1), '')), '[.]$', '') AS host FROM pages),
 captured AS (SELECT DISTINCT host FROM pg),
 words AS (SELECT DISTINCT unnest(string_split_regex(host, '[.-]')) AS unnest_words FROM pg),
-entries AS ({entries.replace("ascii(", "ascii(").replace("DISTINCT host,", "DISTINCT host,")}),
+entries AS ({entries}),
 dated AS (SELECT list, kind, rule, CAST(day AS DATE) AS day, max(action) AS action FROM entries GROUP BY ALL),
 spans AS (SELECT *, lead(day) OVER (PARTITION BY list, kind, rule ORDER BY day) AS until FROM dated),
 keys AS (
@@ -121,7 +123,7 @@ SELECT id, list_transform(list_filter(list_transform(range(1, len(a) + 1), lambd
   WHEN regexp_matches(coalesce(a[i - 1], ''), '^\\p{{N}}') AND list_contains(us, lower(a[i])) THEN '<unit>'
   WHEN a[i] <> lower(a[i]) AND i > 1 AND NOT list_contains(['.', '!', '?'], a[i - 1]) AND (a[i] <> upper(a[i]) OR length(a[i]) = 1) THEN '<name>' END}}),
   lambda x: NOT list_contains(['.', '!', '?'], x.t)), lambda x: {{'c': coalesce(x.k, lower(x.t)), 'v': CASE WHEN x.k IS NOT NULL THEN lower(x.t) END}}) AS ts
-FROM (SELECT {id_col} AS id, regexp_extract_all(coalesce(text, ''), '{token}') AS a, us FROM {table} CROSS JOIN (SELECT list(unit) AS us FROM units))) WHERE len(ts) > 0)) 
+FROM (SELECT {id_col} AS id, regexp_extract_all(coalesce(text, ''), '{token}') AS a, us FROM {table} CROSS JOIN (SELECT list(unit) AS us FROM units))) WHERE len(ts) > 0))
 WHERE len(w.c) - len(list_filter(w.v, lambda x: x IS NOT NULL)) >= least(3, ceil(len(w.c) / 2))"""
 
 
@@ -141,9 +143,4 @@ best AS (SELECT doc, count(DISTINCT item) AS n_items, first(item ORDER BY sim DE
 SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, item_id FROM documents LEFT JOIN best ON doc = doc_id"""
 
 
-# The units that the templates know.
-DECONTAMINATION = decontamination((
-    "mm cm m km inch inches foot feet yard yards mile miles g kg mg ton tons lb lbs pound pounds ounce ounces l ml liter "
-    "liters litre litres gallon gallons s sec second seconds minute minutes h hour hours day days week weeks month months "
-    "year years dollar dollars euro euros cent cents percent degree degrees watt watts volt volts meter meters metre metres"
-).split())
+DECONTAMINATION = decontamination(UNITS)
