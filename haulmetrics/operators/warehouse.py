@@ -22,6 +22,7 @@ from haulmetrics.functions.geo import facility_array, haversine_km, nearest_in
 from haulmetrics.functions.quantiles import exact_quantiles
 from haulmetrics.operators.clustering import STARTS, best_kmeans, grouped_kmeans, join_groups
 from haulmetrics.operators.scenarios import rank_scenarios
+from haulmetrics.operators.tours import km_matrix
 from haulmetrics.schema import EARTH_RADIUS_KM, FACILITY_COST, SEED, TRANSPORT_COST_PER_KM
 from haulmetrics.session import cut_lineage
 
@@ -152,13 +153,6 @@ def candidate_sites(df: DataFrame, m: int = 30, lat: str = "latitude", lon: str
     return sorted((r[lat], r["lon"]) for r in rows)
 
 
-def _km_matrix(lat: np.ndarray, lon: np.ndarray, sites: np.ndarray) -> np.ndarray:
-    a, b = np.radians(lat)[:, None], np.radians(sites[:, 0])[None, :]
-    dlon = np.radians(sites[:, 1])[None, :] - np.radians(lon)[:, None]
-    h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin(dlon / 2) ** 2
-    return 2 * EARTH_RADIUS_KM * np.arcsin(np.minimum(1.0, np.sqrt(h)))
-
-
 def cheapest_set(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]) -> tuple[tuple[int, ...], float]:
     """The set of site numbers with the least demand x km to its nearest site, the first of equals.
 
@@ -175,7 +169,7 @@ def cheapest_set(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]
             for start in range(0, len(batch), POINTS_PER_BLOCK):
                 part = batch.iloc[start:start + POINTS_PER_BLOCK]
                 # One row per site: picking a set's sites copies whole rows.
-                km = np.ascontiguousarray(_km_matrix(part["lat"].to_numpy(), part["lon"].to_numpy(), places).T)
+                km = np.ascontiguousarray(km_matrix(part["lat"].to_numpy(), part["lon"].to_numpy(), places).T)
                 demand = part["demand"].to_numpy(dtype=float)
                 for at in range(0, len(members), 1_000):
                     some = members[at:at + 1_000]

@@ -1,3 +1,5 @@
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from haulmetrics.schema import CSV_COLUMNS
@@ -86,3 +88,15 @@ def test_pruned_joins_give_the_same_lines(spark, small):
 def test_checkpoint_folder_comes_from_the_session(spark):
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_orphaned_lines(spark, small, tmp_path):
+    """Keys are taken as intact: a line without an order counts unless the joins are asked for."""
+    for table in ("orders", "part", "customer", "supplier", "nation", "region"):
+        (tmp_path / f"{table}.parquet").symlink_to(f"{small}/{table}.parquet")
+    lines = pq.read_table(f"{small}/lineitem.parquet").slice(0, 50)
+    at = lines.schema.get_field_index("l_orderkey")
+    orphan = lines.slice(0, 1).set_column(at, lines.schema.field(at), pa.array([-1], lines.schema.field(at).type))
+    pq.write_table(pa.concat_tables([lines, orphan]), tmp_path / "lineitem.parquet")
+    assert order_lines(spark, str(tmp_path), ["sales"]).count() == 51
+    assert order_lines(spark, str(tmp_path), ["sales"], enforce_keys=True).count() == 50
