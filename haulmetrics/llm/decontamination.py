@@ -87,15 +87,25 @@ def _window_values(values: Column, start: Column, width: int = WINDOW) -> Column
     return F.when(F.size(own) > 0, own)
 
 
+def words(text: Column) -> Column:
+    """The tokens of the template in lower case, values in place of the placeholders."""
+    return F.filter(F.transform(_tokens(text), F.lower), lambda t: ~t.isin(*MARKS))
+
+
+def _items(benchmark: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``hashes, values, item_id, words``; items with equal windows and values are one, with the smallest id."""
+    items = benchmark.select(F.col(id_col).alias("item_id"), window_hashes(F.col(text_col)).alias("hashes"),
+                             slot_values(F.col(text_col)).alias("values"), words(F.col(text_col)).alias("words")).filter("hashes is not null")
+    return items.groupBy("hashes", "values").agg(F.min("item_id").alias("item_id"), F.first("words").alias("words")).filter("item_id is not null")
+
+
 def benchmark_windows(benchmark: DataFrame, text_col: str = "text", id_col: str = "item_id") -> DataFrame:
     """``h, item_id, at, slots, n_windows`` of the windows that are evidence.
 
     Those have LITERALS plain words, or half their tokens if the text is shorter than a
     window. Items with equal windows and values are one, with the smallest id.
     """
-    items = benchmark.select(F.col(id_col).alias("item_id"), window_hashes(F.col(text_col)).alias("hashes"),
-                             slot_values(F.col(text_col)).alias("values")).filter("hashes is not null")
-    same = items.groupBy("hashes", "values").agg(F.min("item_id").alias("item_id")).filter("item_id is not null")
+    same = _items(benchmark, text_col, id_col)
     cut = same.select("item_id", "values", F.posexplode("hashes").alias("at", "h")).select(
         "item_id", "at", "h", _window_values(F.col("values"), F.col("at") + 1).alias("slots"),
         F.least(F.size("values"), F.lit(WINDOW)).alias("tokens"))
@@ -110,17 +120,10 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2")]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
-          item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
-    """``k1, k2, item_id, similarity, run`` for every text and item with matching windows that reach a bound.
-
-    ``similarity`` is the share of the item's windows found in consistent segments, ``run``
-    the windows of the longest one; a pair counts from ``similarity`` on, or RUN windows.
-    """
-    table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
+def _matches(keyed: DataFrame, table: DataFrame) -> DataFrame:
+    """``k1, k2, item_id, n_windows, diagonal, at, pairs`` of equal template windows; ``pairs`` of the values, null without slots."""
     if table.count() <= BROADCAST_WINDOWS:
         table = F.broadcast(table)
-    keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
     exploded = keyed.select("k1", "k2", F.posexplode(window_hashes(F.col("text"))).alias("pos", "h"))
     hits = written(exploded.join(table, "h").select(
         "k1", "k2", "item_id", "pos", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "n_windows", "slots").distinct(), "hits")
@@ -132,7 +135,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similar
     filled = slotted.join(written(texts, "slot-values"), ["k1", "k2"]).withColumn("pairs", F.arrays_zip(
         F.col("slots").alias("item"), _window_values(F.col("values"), F.col("pos") + 1).alias("doc"))).drop("values")
     plain = hits.filter("slots is null").withColumn("pairs", F.lit(None).cast(filled.schema["pairs"].dataType))
-    segments = plain.unionByName(filled).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
+    return plain.unionByName(filled)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
+          item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
+    """``k1, k2, item_id, similarity, run`` for every text and item with matching windows that reach a bound.
+
+    ``similarity`` is the share of the item's windows found in consistent segments, ``run``
+    the windows of the longest one; a pair counts from ``similarity`` on, or RUN windows.
+    """
+    table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
+    keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
+    segments = _matches(keyed, table).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
         F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = segments.filter(F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item"))))
     found = consistent.groupBy("k1", "k2", "item_id", "n_windows").agg(
@@ -141,6 +156,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similar
         (F.col("similarity") >= similarity) | (F.col("run") >= RUN)).select("k1", "k2", "item_id", "similarity", "run")
 
 
+def _uncontradicted(windows: Column) -> Column:
+    """``at`` of the windows of a diagonal, without those in which an item's value stands for one of several values of the document.
+
+    Windows without slots and slots with the item's own value always count.
+    """
+    def kept(pairs: Column) -> Column:
+        torn = F.filter(pairs, lambda p: F.exists(pairs, lambda q: (q["item"] == p["item"]) & (q["doc"] != p["doc"])))
+        return _let(torn, lambda t: F.filter(windows, lambda w: w["pairs"].isNull() | F.forall(
+            w["pairs"], lambda p: (p["item"] == p["doc"]) | ~F.array_contains(t, p)))["at"])
+    return _let(F.array_distinct(F.flatten(F.filter(windows["pairs"], lambda p: p.isNotNull()))), kept)
+
+
+def passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
+             item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
+    """``k1, k2, item_id, similarity, run`` as ``leaks`` gives them, by weaker conditions.
+
+    Of a diagonal only the windows that contradict each other are lost.
+    """
+    keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
+    table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
+    segments = _matches(keyed, table).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
+        F.collect_set(F.struct("at", "pairs")).alias("windows"))
+    found = segments.withColumn("ats", F.array_distinct(_uncontradicted(F.col("windows")))).groupBy("k1", "k2", "item_id", "n_windows").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("seen"), F.max(F.size("ats")).alias("run"))
+    return found.withColumn("similarity", F.col("seen") / F.col("n_windows")).filter(
+        (F.col("similarity") >= similarity) | (F.col("run") >= RUN)).select("k1", "k2", "item_id", "similarity", "run")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with ``contaminated``, ``n_items`` and ``item_id``, the most similar item (the smallest of equals).
 
@@ -162,7 +205,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents without a leak, with the columns that ``docs`` has."""
-    found = written(leaks(docs, benchmark, text_col, **options).select("k1", "k2").distinct(), "leaks")
+    """The documents without a passage of the benchmark, with the columns that ``docs`` has."""
+    found = written(passages(docs, benchmark, text_col, **options).select("k1", "k2").distinct(), "leaks")
     one, two = text_key(F.col(text_col))
     return docs.join(found, (one == F.col("k1")) & (two == F.col("k2")), "left_anti")

@@ -87,6 +87,20 @@ def test_decontamination_of_awkward_rows(spark, bench):
     assert decontamination.contaminated(awkward(spark), bench.limit(0)).filter("contaminated").count() == 0
 
 
+def left(spark, items, texts):
+    """Which of the texts the pipeline's stage keeps."""
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(r["doc_id"] for r in decontamination.keep_clean(docs, items).collect())
+
+
+def test_one_edited_value_does_not_hide_a_passage(spark):
+    """The value 5 stands twice in 38 words, and the copy changes the second."""
+    item = prose(80, 16) + " 5 " + prose(81, 12) + " 5 " + prose(82, 8)
+    copy = prose(80, 16) + " 5 " + prose(81, 12) + " 6 " + prose(82, 8)
+    assert left(spark, [item], [copy, prose(83, 60)]) == [1]
+
+
 def test_large_benchmarks_are_joined_by_a_shuffle(spark, bench, monkeypatch):
     texts = [prose(1, 50) + ". " + ITEM, prose(3, 200)]
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
