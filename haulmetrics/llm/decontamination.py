@@ -168,19 +168,55 @@ def _uncontradicted(windows: Column) -> Column:
     return _let(F.array_distinct(F.flatten(F.filter(windows["pairs"], lambda p: p.isNotNull()))), kept)
 
 
+def literal_windows(benchmark: DataFrame, text_col: str = "text", id_col: str = "item_id") -> DataFrame:
+    """``h, item_id, at, width`` of all windows of the items in lower case with their values; of a shorter item the whole."""
+    size = F.size("words")
+    cut = _items(benchmark, text_col, id_col).select("item_id", F.least(size, F.lit(WINDOW)).alias("width"), F.posexplode(
+        F.transform(F.sequence(F.lit(1), F.greatest(size - WINDOW + 1, F.lit(1))),
+                    lambda start: F.xxhash64(F.slice("words", start, WINDOW)))).alias("at", "h"))
+    return cut.select("h", "item_id", "at", "width")
+
+
+def _literal_hashes(text: Column, widths: list[int]) -> Column:
+    """``pos, h`` of the windows of each width, in lower case with the values."""
+    def cut(tokens: Column, width: int) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(tokens) - width), lambda pos: F.struct(
+            pos.alias("pos"), F.xxhash64(F.slice(tokens, pos + 1, width)).alias("h")))
+        return F.when(F.size(tokens) >= width, hashes).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
+    return _let(words(text), lambda tokens: F.concat(*[cut(tokens, w) for w in widths]))
+
+
 def passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
              item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
     """``k1, k2, item_id, similarity, run`` as ``leaks`` gives them, by weaker conditions.
 
-    Of a diagonal only the windows that contradict each other are lost.
+    Of a diagonal only the windows that contradict each other are lost. Windows equal but for
+    case count beside the template windows, whatever they consist of. ``similarity`` is the
+    larger of two shares: of the item's template windows those found either way, and of all its
+    windows those found literally. An item shorter than a window matches wherever its words stand in a row.
     """
     keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
     table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
+    literal = written(literal_windows(benchmark, item_text_col, item_id_col), "benchmark-literals")
+    widths = sorted(r["width"] for r in literal.select("width").distinct().collect()) or [WINDOW]
+    used = table.groupBy("item_id").agg(F.collect_set("at").alias("used"))
+    items = written(literal.groupBy("item_id").agg(F.count("*").alias("n_all")).join(used, "item_id", "left"), "benchmark-items")
     segments = _matches(keyed, table).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
         F.collect_set(F.struct("at", "pairs")).alias("windows"))
-    found = segments.withColumn("ats", F.array_distinct(_uncontradicted(F.col("windows")))).groupBy("k1", "k2", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("seen"), F.max(F.size("ats")).alias("run"))
-    return found.withColumn("similarity", F.col("seen") / F.col("n_windows")).filter(
+    typed = segments.select("k1", "k2", "item_id", "diagonal", F.explode(_uncontradicted(F.col("windows"))).alias("at"),
+                            F.lit(None).cast("int").alias("as_is"))
+    if literal.count() <= BROADCAST_WINDOWS:
+        literal = F.broadcast(literal)
+    exploded = keyed.select("k1", "k2", F.explode(_literal_hashes(F.col("text"), widths)).alias("w")).select("k1", "k2", "w.pos", "w.h")
+    same = exploded.join(literal, "h").select("k1", "k2", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "at",
+                                              F.col("at").alias("as_is"))
+    diagonals = written(typed.unionByName(same).groupBy("k1", "k2", "item_id", "diagonal").agg(
+        F.collect_set("at").alias("ats"), F.collect_set("as_is").alias("as_is")), "diagonals")
+    found = diagonals.groupBy("k1", "k2", "item_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.max(F.size("ats")).alias("run"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("as_is")))).alias("literally")).join(items, "item_id")
+    either = F.when(F.col("used").isNotNull(), F.size(F.array_intersect("ats", "used")) / F.size("used"))
+    return found.withColumn("similarity", F.greatest(either, F.col("literally") / F.col("n_all"))).filter(
         (F.col("similarity") >= similarity) | (F.col("run") >= RUN)).select("k1", "k2", "item_id", "similarity", "run")
 
 
