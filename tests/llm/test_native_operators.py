@@ -101,6 +101,19 @@ def test_one_edited_value_does_not_hide_a_passage(spark):
     assert left(spark, [item], [copy, prose(83, 60)]) == [1]
 
 
+def test_passages_in_another_case(spark):
+    """Names that turn into words and words that turn into names."""
+    item = "In spring Anna met Ben near Ulm and Carla wrote to Dora about the old bridge while Emil slept by the river"
+    assert left(spark, [item], [item.lower(), item.title(), prose(84, 60) + " " + item.lower(), prose(83, 60)]) == [3]
+
+
+def test_items_poor_in_words_and_short_items(spark):
+    """No window has three plain words; less than a window inside a longer text."""
+    paid = "Anna, Ben, Carl, Dora and Emil paid 12, 14, 16, 18 and 20 euros to Hans, Ida and Jan"
+    texts = [prose(85, 30) + ". " + paid, prose(86, 30) + " what is 12 + 7? " + prose(87, 30), "what is 12 and 7", prose(83, 60)]
+    assert left(spark, [paid, "What is 12 + 7?"], texts) == [2, 3]
+
+
 def test_large_benchmarks_are_joined_by_a_shuffle(spark, bench, monkeypatch):
     texts = [prose(1, 50) + ". " + ITEM, prose(3, 200)]
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
