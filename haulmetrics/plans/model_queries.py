@@ -77,17 +77,12 @@ def daily_series(spark, sf_dir):
 
 # --- delivery models ----------------------------------------------------------
 
-# Full trees on lines whose target is noise grow to tens of thousands of leaves; the registered
-# queries stop at this depth to end in minutes. The operators' own default is the full depth.
-QUERY_DEPTH = 10
-
-
 def train_delivery(df, names=None):
-    return delivery.train_delivery_models(df, names, estimators=delivery.regressors(max_depth=QUERY_DEPTH))
+    return delivery.train_delivery_models(df, names)
 
 
 def train_risk(df, names=None):
-    return risk.train_risk_models(df, names, max_depth=QUERY_DEPTH)
+    return risk.train_risk_models(df, names)
 
 
 def delivery_lines(spark, sf_dir):
@@ -103,7 +98,7 @@ def delivery_model_metrics(spark, sf_dir):
 
 @query("d11_cv_mae")
 def cv_mae(spark, sf_dir):
-    return delivery.cross_validate(delivery_lines(spark, sf_dir), estimators=delivery.regressors(max_depth=QUERY_DEPTH))
+    return delivery.cross_validate(delivery_lines(spark, sf_dir))
 
 
 @query("d12_feature_importance")
@@ -120,10 +115,9 @@ def score(spark, sf_dir):
 
 @query("d14_model_comparison")
 def model_comparison(spark, sf_dir):
-    """The two quick models: five folds of boosting are what d11 runs."""
-    lines, names = delivery_lines(spark, sf_dir), ["linear_regression", "random_forest"]
-    folds = delivery.cross_validate(lines, names, estimators=delivery.regressors(max_depth=QUERY_DEPTH))
-    return delivery.model_comparison(delivery.model_metrics(spark, train_delivery(lines, names)), folds)
+    lines = delivery_lines(spark, sf_dir)
+    metrics = delivery.model_metrics(spark, train_delivery(lines))
+    return delivery.model_comparison(metrics, delivery.cross_validate(lines))
 
 
 @query("d16_forecast")

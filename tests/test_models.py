@@ -6,7 +6,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import functions as F
 
 from haulmetrics.operators import delivery, risk
-from haulmetrics.plans import run_all
+from haulmetrics.plans import model_queries, run_all
 from haulmetrics.plans.model_queries import delivery_lines, risk_lines
 from haulmetrics.plans.run_queries import RUN_COLUMNS
 from haulmetrics.sources.star import order_lines
@@ -92,3 +92,17 @@ def test_run_isolates_failures(spark, small):
     assert status["silent"] == ("failed", "RuntimeError()")
     assert status["unknown"][0] == "failed"
     assert run.findings.where("analysis = 'cost_optimization'").count() == 2
+
+
+def test_registered_queries_train_all_models_at_full_depth(monkeypatch):
+    """No query hands the operators a list of models or a depth."""
+    asked = []
+    for module, name in ((delivery, "train_delivery_models"), (delivery, "cross_validate"), (risk, "train_risk_models")):
+        monkeypatch.setattr(module, name, lambda df, names=None, **options: asked.append((names, options)))
+    for name in ("model_metrics", "model_comparison"):
+        monkeypatch.setattr(delivery, name, lambda *given: None)
+    monkeypatch.setattr(model_queries, "delivery_lines", lambda spark, sf_dir: None)
+    for run in (model_queries.delivery_model_metrics, model_queries.cv_mae, model_queries.model_comparison):
+        run(None, "")
+    model_queries.train_risk(None)
+    assert asked == [(None, {})] * 5
