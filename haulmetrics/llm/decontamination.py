@@ -43,13 +43,18 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
+def _number(token: Column) -> Column:
+    """Whether a token begins with a number of any script; only a token beyond ASCII is looked at twice."""
+    return token.between("0", "9\uffff") | ((token > "\x7f") & token.rlike(r"^\p{N}"))
+
+
 def _slot(token: Column, low: Column, before: Callable[[], Column], i: Column) -> Column:
     """``<num>``, ``<unit>`` after a number, ``<name>`` for a capitalised word inside a sentence, else null.
 
     Words all in capitals are no names. The commonest case, a plain word, fails every test early.
     """
-    return (F.when(token.between("0", "9\uffff"), "<num>")
-            .when(low.isin(UNITS) & before().between("0", "9\uffff"), "<unit>")
+    return (F.when(_number(token), "<num>")
+            .when(low.isin(UNITS) & _number(before()), "<unit>")
             .when((token != low) & (i > 0) & ~before().isin(*MARKS)
                   & ((token != F.upper(token)) | (F.length(token) == 1)), "<name>"))
 
@@ -232,16 +237,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                                          F.min(F.struct(-F.col("similarity"), "item_id"))["item_id"].alias("item_id"))
     added = ("contaminated", "n_items", "item_id")
     kept = docs.select(*[c for c in docs.columns if c not in added])
-    one, two = text_key(F.col(text_col))
-    keyed = kept.withColumns({"_k1": one, "_k2": two})
-    flagged = written(best.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}), "contaminated")
-    return keyed.join(flagged, ["_k1", "_k2"], "left").withColumns({
-        "contaminated": F.col("n_items").isNotNull(), "n_items": F.coalesce("n_items", F.lit(0)).cast("long")}).select(
-        *kept.columns, *added)
+    # The row travels as one value, so its names can't meet those of the join.
+    keyed = kept.select(F.struct(*kept.columns).alias("row"), *text_key(F.col(text_col)))
+    flagged = written(best, "contaminated")
+    return keyed.join(flagged, ["k1", "k2"], "left").select(
+        "row.*", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "item_id")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents without a passage of the benchmark, with the columns that ``docs`` has."""
+    """The documents without a passage of the benchmark, with the columns that ``docs`` has.
+
+    Null and empty texts hold no passage and stay, long ones are looked through whole, equal
+    texts stay or go together. Null items and items without an id are left out; with an empty
+    benchmark everything stays, of an empty table nothing.
+    """
     found = written(passages(docs, benchmark, text_col, **options).select("k1", "k2").distinct(), "leaks")
-    one, two = text_key(F.col(text_col))
-    return docs.join(found, (one == F.col("k1")) & (two == F.col("k2")), "left_anti")
+    one, two = text_key(docs[text_col])
+    return docs.join(found, (one == found["k1"]) & (two == found["k2"]), "left_anti")

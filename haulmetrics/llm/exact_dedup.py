@@ -121,5 +121,5 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` without rows that repeat a text; ids are taken as unique here, as in a corpus table."""
-    gone = exact_duplicates(docs, text_col, id_col).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = exact_duplicates(docs, text_col, id_col).filter("not kept").select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")

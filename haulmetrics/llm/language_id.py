@@ -109,6 +109,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     schema = "lang string, block int, counts binary"
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    # The model has a fixed size for each language, so their number is known before anything is counted.
+    if rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     summed = rows.mapInArrow(_count, schema).repartition("lang", "block").mapInArrow(_add, schema)
     counts: dict[str, np.ndarray] = {}
     documents: dict[str, int] = {}
@@ -116,8 +119,6 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
         values = np.frombuffer(row["counts"], np.int64)
         if row["block"] < 0:
             documents[row["lang"]] = int(values[0])
-            if len(documents) > MAX_LANGUAGES:
-                raise ValueError(f"more than {MAX_LANGUAGES} languages")
         else:
             counts.setdefault(row["lang"], np.zeros(BUCKETS))[row["block"] * BLOCK:][:BLOCK] = values
     languages = sorted(documents)
@@ -166,9 +167,15 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.5,
-                    text_col: str = "text") -> DataFrame:
-    """The documents in a language that the model knows, with the columns that ``docs`` has."""
-    scored = predict(docs.withColumns({f"_in_{c}": docs[c] for c in docs.columns}), model, text_col)
-    sure = scored.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return sure.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The documents with a predicted language, however sure, with the columns that ``docs`` has.
+
+    Null texts and texts without a letter go; a long text is read whole, repeated rows stay or
+    go together, and of an empty table, or under a model without a language, nothing is left.
+    Columns of ``docs`` named like those that ``predict`` adds keep their own values.
+    """
+    own = [c for c in ("lang_pred", "score") if c in docs.columns]
+    spare = max(docs.columns, key=len) + "_"
+    scored = predict(docs.withColumn(spare, F.struct(*own)) if own else docs, model, text_col)
+    known = scored.filter(F.col("lang_pred") != UNKNOWN)
+    return known.select(*[F.col(f"{spare}.{c}").alias(c) if c in own else F.col(c) for c in docs.columns])

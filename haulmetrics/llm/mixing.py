@@ -75,8 +75,11 @@ def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Colum
     """
     kept = docs.select(*[c for c in docs.columns if c not in ("n_tokens", "n_copies")])
     node = {f"_level{i}": F.coalesce(F.col(c).cast("string"), F.lit("")) for i, c in enumerate(levels)}
+    # The row travels as one value, so its names can't meet those of the joins.
+    row = F.struct(*kept.columns).alias("row")
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    counted = kept.withColumns(node | {"_key": key, "n_tokens": word_tokens(text_col) if tokens is None else tokens})
+    counted = kept.select(row, *[c.alias(n) for n, c in node.items()], key.alias("_key"),
+                          (word_tokens(text_col) if tokens is None else tokens).alias("n_tokens"))
     names = list(node)
     rows = written(counted.select(*names, "_key", "n_tokens"), "mix-rows")
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_rows"))
@@ -99,12 +102,18 @@ def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Colum
     cuts = inside.filter("sum <= rest").select(*names, F.col("place").alias("last")).unionByName(
         upto.filter("upto <= rest").select(*names, "last")).groupBy(*names).agg(F.max("last").alias("cut"))
     table = written(plan.join(cuts, names, "left").select(*names, "epochs", "cut"), "mix-cuts")
-    return counted.join(table, names, "left").withColumn("n_copies", F.col("epochs") + F.coalesce(
-        (order <= F.col("cut")).cast("long"), F.lit(0))).select(*kept.columns, "n_tokens", "n_copies")
+    copies = F.col("epochs") + F.coalesce((order <= F.col("cut")).cast("long"), F.lit(0))
+    return counted.join(table, names, "left").select("row.*", "n_tokens", copies.alias("n_copies"))
 
 
 def draw(docs: DataFrame, *args, **options) -> DataFrame:
-    """The mixture itself: every document as often as ``mix`` takes it, with the columns of ``docs``."""
-    mixed = mix(docs.withColumns({f"_in_{c}": docs[c] for c in docs.columns}), *args, **options)
-    copies = mixed.filter("n_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
-    return copies.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+    """The mixture itself: every document as often as ``mix`` takes it, with the columns of ``docs``.
+
+    Nulls, empty texts, repeated rows and empty tables are treated as there; columns of
+    ``docs`` named like those that ``mix`` adds keep their own values.
+    """
+    own = [c for c in ("n_tokens", "n_copies") if c in docs.columns]
+    spare = max(docs.columns, key=len) + "_"
+    mixed = mix(docs.withColumn(spare, F.struct(*own)) if own else docs, *args, **options)
+    taken = mixed.filter("n_copies > 0").withColumn("n_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
+    return taken.select(*[F.col(f"{spare}.{c}").alias(c) if c in own else F.col(c) for c in docs.columns])

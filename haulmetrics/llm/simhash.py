@@ -178,9 +178,10 @@ def keep_one_per_component(docs: DataFrame, words: int = 3, radius: int = 3, tex
                            id_col: str = "doc_id") -> DataFrame:
     """The documents of ``docs`` that are the first of their component.
 
-    Of rows repeated with one id all or none stay; rows without an id stay.
+    Of rows repeated with one id all or none stay; rows without an id stay. Texts without a
+    word are near each other, so one of them stays; an empty table gives an empty result.
     """
     firsts = near_duplicates(docs, words, radius, text_col, id_col).filter(
-        "doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+        "doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     gone = written(firsts, "near-copies")
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")

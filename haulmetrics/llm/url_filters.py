@@ -54,7 +54,9 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", d
     intervals = written(validity_intervals(entries), "list-intervals")
     added = ("host", "n_active", "lists", "blocked")
     kept = captures.select(*[c for c in captures.columns if c not in added])
-    rows = kept.withColumns({"host": url_host(F.col(url_col)), "_path": url_path(F.col(url_col)), "_day": F.col(day_col)})
+    # The row travels as one value, so its names can't meet those of the joins.
+    rows = kept.select(F.struct(*kept.columns).alias("row"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("_path"),
+                       F.col(day_col).alias("_day"))
     sites = rows.filter("host <> '' and _day is not null").groupBy("host", F.col("_day").alias("day")).count()
     labels = F.split("host", r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(
@@ -75,5 +77,5 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", d
         ["host", "_path", "_day"], "left")
     total = F.coalesce("_n1", F.lit(0)) + F.coalesce("_n2", F.lit(0))
     lists = F.array_union(F.coalesce("_l1", none), F.coalesce("_l2", none))
-    return joined.withColumns({"n_active": total, "lists": F.array_join(F.array_sort(lists), ","), "blocked": total > 0}).select(
-        *kept.columns, *added)
+    return joined.select("row.*", "host", total.alias("n_active"), F.array_join(F.array_sort(lists), ",").alias("lists"),
+                         (total > 0).alias("blocked"))

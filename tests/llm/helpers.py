@@ -9,7 +9,10 @@ SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 # Names of columns that operators use or add themselves.
-CLASHING = ("k1", "k2", "hash", "shard", "slot", "n_copies", "n_tokens", "lang_pred", "score", "host", "n_items", "fp", "_gone")
+CLASHING = ("k1", "k2", "_k1", "_k2", "hash", "shard", "slot", "n_copies", "n_tokens", "lang_pred", "score", "host", "n_items", "fp", "gone",
+            "_gone", "epochs", "cut", "rest", "digits", "piece", "place", "row", "_key", "_level0", "budget", "tokens", "_path", "_day",
+            "lists", "n_active", "blocked", "contaminated", "item_id", "order_key", "component_id", "fingerprint", "keep_id", "kept",
+            "group_size", "bits", "word", "n", "form", "root", "spans", "labels", "n_base", "copy", "own", "_own", "_n1", "_l1", "h", "pos", "at")
 
 
 def prose(seed: int, words: int, vocabulary: int = 400) -> str:

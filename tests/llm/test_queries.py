@@ -3,15 +3,17 @@
 import collections
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from haulmetrics.llm import language_id, sharding
+from haulmetrics.llm import decontamination, exact_dedup, language_id, mixing, sharding, simhash, url_filters
 from haulmetrics.llm.queries import ORACLES, QUERIES
 from haulmetrics.llm.shared import written
 from tools.check_queries import compare, connect
 
-from .helpers import awkward, empty
+from .helpers import CLASHING, awkward, empty
+from .plain import plain_leaks
 from .test_dedup import slow_components, slow_fingerprint
 
 
@@ -30,16 +32,17 @@ def test_pipeline_equals_plain_stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     got = corpus_pipeline.run(spark, small).collect()
     data = {r["doc_id"]: r for r in docs.collect()}
-    languages, scores = language_id.score_texts(language_id.train(docs), [r["text"] for r in data.values()])
-    kept = [r for r, lang, score in zip(data.values(), languages, scores) if lang != "und" and score >= 0.5]
+    languages, _ = language_id.score_texts(language_id.train(docs), [r["text"] for r in data.values()])
+    kept = [r for r, lang in zip(data.values(), languages) if lang != "und"]
     labels = slow_components([slow_fingerprint(r["text"], 3) for r in kept], 3)
     groups = collections.defaultdict(list)
     for r, x in zip(kept, labels):
         groups[x].append(r["doc_id"])
-    single = {min(g) for g in groups.values()}
-    rows = connect(small).execute(ORACLES["op6_benchmark_decontamination"]).fetchall()
-    clean = single - {r[0] for r in rows if r[1]}
-    left = written(docs.filter(docs.doc_id.isin(list(clean))), "clean")
+    single = [data[min(g)] for g in groups.values()]
+    benchmark = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
+    clean = [r["doc_id"] for r, leak in zip(single, plain_leaks([r["text"] for r in single], benchmark)) if not leak]
+    assert len(clean) < len(single) < len(kept)
+    left = written(docs.filter(docs.doc_id.isin(clean)), "clean")
     con = connect(small)
     con.register("documents_left", left.toArrow())
     taken = con.execute(ORACLES["op10_mixing"].replace("FROM documents", "FROM documents_left")).fetchall()
@@ -49,6 +52,36 @@ def test_pipeline_equals_plain_stages(spark, small):
     assert all(r["shard"] == table[r["slot"]] and r["slot"] == int(r["order_key"][:12], 16) % sharding.TABLE_SIZE for r in got)
 
 
+STAGE_OPERATORS = {
+    "keep_one": lambda spark, docs, small: exact_dedup.keep_one(docs),
+    "keep_one_per_component": lambda spark, docs, small: simhash.keep_one_per_component(docs),
+    "predict": lambda spark, docs, small: language_id.predict(docs, language_id.train(docs)),
+    "mix": lambda spark, docs, small: mixing.mix(docs, ["lang", "source"], [F.lit(1), F.lit(2)]),
+    "contaminated": lambda spark, docs, small: decontamination.contaminated(docs, spark.read.parquet(f"{small}/benchmark.parquet")),
+    "filter_urls": lambda spark, docs, small: url_filters.filter_urls(
+        docs.withColumns({"url": F.lit("http://a.example/x"), "day": F.lit("2024-05-05").cast("date")}),
+        spark.createDataFrame([("ads", "domain", "a.example", "add")], "list string, kind string, rule string, action string").withColumn(
+            "day", F.lit("2024-01-01").cast("date"))),
+    "assign_shards": lambda spark, docs, small: sharding.assign_shards(docs),
+    **{name: stage for name, stage in corpus_pipeline.STAGES},
+}
+ADDED = {"predict": ("lang_pred", "score"), "mix": ("n_tokens", "n_copies"), "contaminated": ("contaminated", "n_items", "item_id"),
+         "filter_urls": ("host", "n_active", "lists", "blocked"), "assign_shards": ("slot", "shard", "order_key"),
+         "sharding": ("slot", "shard", "order_key")}
+
+
+@pytest.mark.parametrize("name", STAGE_OPERATORS)
+def test_columns_named_like_internal_ones_keep_their_values(spark, small, name):
+    docs = spark.read.parquet(f"{small}/documents.parquet").filter("doc_id < 40")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id")).alias(c) for c in CLASHING])
+    plain = STAGE_OPERATORS[name](spark, docs, small).select("doc_id", *ADDED.get(name, ())).collect()
+    found = STAGE_OPERATORS[name](spark, wide, small)
+    assert len(set(found.columns)) == len(found.columns) and set(wide.columns) <= set(found.columns)
+    assert sorted(map(str, found.select("doc_id", *ADDED.get(name, ())).collect())) == sorted(map(str, plain))
+    own = [c for c in CLASHING if c not in ADDED.get(name, ())]
+    assert all(r[c] == f"{c} {r['doc_id']}" for r in found.collect() for c in own)
+
+
 @pytest.mark.parametrize("make", [awkward, empty])
 def test_every_stage_takes_awkward_rows(spark, small, make):
     docs = make(spark)
