@@ -5,18 +5,19 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from haulmetrics.functions.exprs import dbl
 from haulmetrics.functions.quantiles import exact_quantiles
 from haulmetrics.operators.metrics import day_statistics, regression_errors
-from haulmetrics.operators.training import feature_stages, fit_all, training_rows
+from haulmetrics.operators.training import NODE_MEMORY_MB, feature_stages, score_together, side_by_side, training_rows
 from haulmetrics.schema import CV_FOLDS, DELIVERY_FEATURES, FORECAST_DAYS, FULL_DEPTH, SEED, TEST_PERCENT
 
 TARGET = "days_real"
@@ -99,7 +100,7 @@ def regressors(target: str = TARGET, seed: int = SEED, max_depth: int = FULL_DEP
     return {
         "linear_regression": LinearRegression(**common),
         "random_forest": RandomForestRegressor(**common, numTrees=100, maxDepth=max_depth, seed=seed,
-                                               featureSubsetStrategy="all", cacheNodeIds=True),
+                                               featureSubsetStrategy="all", cacheNodeIds=True, maxMemoryInMB=NODE_MEMORY_MB),
         "gradient_boosting": GBTRegressor(**common, maxIter=100, maxDepth=3, stepSize=0.1, seed=seed),
     }
 
@@ -110,6 +111,12 @@ class DeliveryModels:
     models: dict[str, PipelineModel] = field(default_factory=dict)
     metrics: dict[str, dict[str, float]] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    cv_mae: dict[str, float | None] = field(default_factory=dict)
+
+    @property
+    def best(self) -> str | None:
+        """The model with the lowest MAE, the first by name of equals."""
+        return min(self.metrics, key=lambda m: (self.metrics[m]["mae"], m), default=None)
 
 
 def prepare(df: DataFrame, key: str = "line_key") -> tuple[FeatureFill, DataFrame]:
@@ -117,56 +124,88 @@ def prepare(df: DataFrame, key: str = "line_key") -> tuple[FeatureFill, DataFram
     return fill, iqr_filter(fill_features(df, fill, keep=[key]))
 
 
-def train_delivery_models(df: DataFrame, names: Sequence[str] | None = None, key: str = "line_key",
-                          estimators: Mapping[str, object] | None = None) -> DeliveryModels:
-    """Fit each model on the hash-split train rows and score it on the rest.
+@dataclass
+class _Table:
+    """Scaled train rows with their fold, scaled test rows, and how both were made."""
+    fill: FeatureFill
+    scaler: PipelineModel
+    train: DataFrame
+    test: DataFrame
 
-    A model that fails is recorded and the others go on.
-    """
+
+def _training_table(df: DataFrame, key: str, folds: int, fits: int) -> _Table:
     fill, data = prepare(df, key)
     train, test = hash_split(data, key)
-    out = DeliveryModels(fill)
+    fold = F.pmod(F.xxhash64(F.col(key), F.lit(SEED + 1)), F.lit(folds or 1)).cast("int").alias("fold")
     scaler = Pipeline(stages=feature_stages(fill.features)).fit(train)
-    scaled = training_rows(scaler.transform(train).select("scaled", TARGET))
-    wanted = {n: e for n, e in (estimators or regressors()).items() if names is None or n in names}
+    rows = training_rows(scaler.transform(train).select("scaled", TARGET, fold), fits)
+    return _Table(fill, scaler, rows, scaler.transform(test).select("scaled", TARGET))
+
+
+def _fold_mae(estimator, rows: DataFrame, fold: int) -> float:
+    """MAE on one fold of a model fitted on the others."""
+    model = estimator.fit(rows.where(F.col("fold") != fold))
+    return regression_errors(model.transform(rows.where(F.col("fold") == fold)), TARGET, "prediction").first()["mae"]
+
+
+def _wanted(estimators: Mapping[str, object] | None, names: Sequence[str] | None) -> dict[str, object]:
+    return {n: e for n, e in (estimators or regressors()).items() if names is None or n in names}
+
+
+def train_delivery_models(df: DataFrame, names: Sequence[str] | None = None, key: str = "line_key",
+                          estimators: Mapping[str, object] | None = None, folds: int = 0) -> DeliveryModels:
+    """Fit each model on the hash-split train rows and score it on the rest.
+
+    A model that fails is recorded and the others go on. With ``folds`` each model is also
+    fitted once for each fold, on the same persisted rows, and ``cv_mae`` has the mean error.
+    """
+    wanted = _wanted(estimators, names)
+    table = _training_table(df, key, folds, len(wanted) * (folds + 1))
+    out = DeliveryModels(table.fill)
+    jobs = {(n, None): partial(e.fit, table.train) for n, e in wanted.items()}
+    jobs |= {(n, k): partial(_fold_mae, e, table.train, k) for n, e in wanted.items() for k in range(folds)}
     try:
-        for name, fitted in fit_all(wanted, scaled).items():
-            if isinstance(fitted, Exception):
-                out.errors[name] = str(fitted)
-                continue
-            model = PipelineModel(stages=[*scaler.stages, fitted])
-            row = regression_errors(model.transform(test), TARGET, "prediction").first()
-            out.models[name] = model
-            out.metrics[name] = {m: row[m] for m in ("mae", "mse", "rmse", "r2")}
+        results = side_by_side(jobs)
     finally:
-        scaled.unpersist()
+        table.train.unpersist()
+    fitted = {n: results[n, None] for n in wanted}
+    out.errors = {n: str(m) for n, m in fitted.items() if isinstance(m, Exception)}
+    good = {n: m for n, m in fitted.items() if n not in out.errors}
+    out.models = {n: PipelineModel(stages=[*table.scaler.stages, m]) for n, m in good.items()}
+    out.cv_mae = {n: _mean_error([results[n, k] for k in range(folds)]) for n in wanted} if folds else {}
+    if good:
+        for row in regression_errors(score_together(good, table.test, [TARGET]), TARGET, "prediction", ["model"]).collect():
+            out.metrics[row["model"]] = {m: row[m] for m in ("mae", "mse", "rmse", "r2")}
     return out
 
 
-def cross_validate(df: DataFrame, names: Sequence[str] | None = None, folds: int = CV_FOLDS,
-                   key: str = "line_key", parallelism: int = CV_FOLDS,
+def _mean_error(errors: list) -> float | None:
+    """Mean over the folds; a model that failed on one has no score."""
+    return None if any(isinstance(e, Exception) or e is None for e in errors) else sum(errors) / len(errors)
+
+
+def cross_validate(df: DataFrame, names: Sequence[str] | None = None, folds: int = CV_FOLDS, key: str = "line_key",
                    estimators: Mapping[str, object] | None = None) -> DataFrame:
-    """Mean MAE over folds of the train rows, (model, cv_mae); folds come from the row key."""
-    fill, data = prepare(df, key)
-    train, _ = hash_split(data, key)
-    fold = F.pmod(F.xxhash64(F.col(key), F.lit(SEED + 1)), F.lit(folds)).cast("int")
-    scaler = Pipeline(stages=feature_stages(fill.features)).fit(train)
-    scaled = training_rows(scaler.transform(train).select("scaled", TARGET, fold.alias("fold")))
-    validators = {
-        name: CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
-                             evaluator=RegressionEvaluator(labelCol=TARGET, metricName="mae"),
-                             numFolds=folds, foldCol="fold", parallelism=parallelism)
-        for name, estimator in (estimators or regressors()).items() if names is None or name in names}
+    """Mean MAE over folds of the train rows, (model, cv_mae); folds come from the row key.
+
+    One fit for each model and fold, all on the same persisted rows, a few side by side; a
+    model that fails has no score.
+    """
+    wanted = _wanted(estimators, names)
+    table = _training_table(df, key, folds, len(wanted) * folds)
     try:
-        rows = []
-        for name, fitted in fit_all(validators, scaled).items():
-            # A model that fails has no score; the others go on.
-            rows.append((name, None if isinstance(fitted, Exception) else float(fitted.avgMetrics[0])))
+        errors = side_by_side({(n, k): partial(_fold_mae, e, table.train, k) for n, e in wanted.items() for k in range(folds)})
     finally:
-        scaled.unpersist()
+        table.train.unpersist()
+    rows = [(n, _mean_error([errors[n, k] for k in range(folds)])) for n in wanted]
     return df.sparkSession.createDataFrame(rows, "model string, cv_mae double")
 
 
+def cv_table(spark, trained: DeliveryModels) -> DataFrame:
+    """(model, cv_mae) of models trained with folds."""
+    return spark.createDataFrame(list(trained.cv_mae.items()), "model string, cv_mae double")
+
+
 def model_metrics(spark, trained: DeliveryModels) -> DataFrame:
     """(model, mae, mse, rmse, r2, error); a failed model has only its error."""
     rows = [(name, m["mae"], m["mse"], m["rmse"], m["r2"], None) for name, m in trained.metrics.items()]
@@ -199,9 +238,12 @@ def feature_importance(spark, models: Mapping[str, PipelineModel], features: Seq
     return spark.createDataFrame(rows, "model string, feature string, importance double, rank int")
 
 
-def predict_days(df: DataFrame, trained: DeliveryModels, model: str = "random_forest",
+def predict_days(df: DataFrame, trained: DeliveryModels, model: str | None = None,
                  keep: Sequence[str] = ("line_key",)) -> DataFrame:
-    """Predicted days for every row; no row is dropped while scoring."""
+    """Predicted days for every row by the named or the best trained model; no row is dropped while scoring."""
+    if not trained.models:
+        raise ValueError("no model is trained")
+    model = model or trained.best or min(trained.models)
     if model not in trained.models:
         raise ValueError(f"model {model} is not trained")
     filled = fill_features(df.drop(TARGET) if TARGET in df.columns else df, trained.fill, keep)
@@ -261,3 +303,59 @@ def forecast(df: DataFrame, periods: int = FORECAST_DAYS, min_lines: int = 5) ->
     half = Z_80 * (spread or 0.0)
     return scored.select("ds", F.expm1("prediction").alias("yhat"), F.expm1(F.col("prediction") - half).alias("yhat_lower"),
                          F.expm1(F.col("prediction") + half).alias("yhat_upper"))
+
+
+RIDGE = 1e-6
+_FORECAST = "ds date, yhat double, yhat_lower double, yhat_upper double"
+
+
+def season_matrix(days: np.ndarray, start: int, length: float) -> np.ndarray:
+    """The columns of ``season_terms`` for day numbers since 1970, with a leading one."""
+    columns = [np.ones(len(days)), (days - start) / length]
+    for period, order in ((365.25, YEARLY_TERMS), (7.0, WEEKLY_TERMS)):
+        for k in range(1, order + 1):
+            angle = days * (2 * math.pi * k / period)
+            columns += [np.sin(angle), np.cos(angle)]
+    return np.stack(columns, axis=1)
+
+
+def fit_series(days: np.ndarray, y: np.ndarray, periods: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Days ahead, their forecast of log(1 + y), and the deviation of what the fit leaves.
+
+    Normal equations of the scaled terms with a small ridge, so that a short series in which
+    terms can't be told apart still has one solution.
+    """
+    start, end = int(days.min()), int(days.max())
+    length = float(max(end - start, 1))
+    x, label = season_matrix(days, start, length), np.log1p(y)
+    mean, scale = x[:, 1:].mean(axis=0), x[:, 1:].std(axis=0)
+    scale[scale == 0] = 1.0
+    z = (x[:, 1:] - mean) / scale
+    weights = np.linalg.solve(z.T @ z + RIDGE * len(z) * np.eye(z.shape[1]), z.T @ (label - label.mean()))
+    left = label - label.mean() - z @ weights
+    ahead = np.arange(end + 1, end + 1 + periods)
+    return ahead, label.mean() + (season_matrix(ahead, start, length)[:, 1:] - mean) / scale @ weights, float(left.std(ddof=1))
+
+
+def forecast_by(df: DataFrame, by: Sequence[str], periods: int = FORECAST_DAYS, min_lines: int = 5) -> DataFrame:
+    """``forecast`` for the series of every key: (``by``, ds, yhat, yhat_lower, yhat_upper).
+
+    Lines are first averaged per key and date; a key's series has one row per calendar date
+    at most, however many lines it has, and is solved on its own. A key with fewer than two
+    dates has no forecast; a null key is a key.
+    """
+    series = daily_series(df, min_lines, by).select(*by, F.datediff("ds", F.lit("1970-01-01").cast("date")).alias("day"), "y")
+
+    def solve(frame: pd.DataFrame) -> pd.DataFrame:
+        if len(frame) < 2:
+            return pd.DataFrame({c: [] for c in [*by, "ds", "yhat", "yhat_lower", "yhat_upper"]})
+        frame = frame.sort_values("day")
+        ahead, center, spread = fit_series(frame["day"].to_numpy(np.float64), frame["y"].to_numpy(np.float64), periods)
+        half = Z_80 * spread
+        out = pd.DataFrame({"ds": pd.to_datetime(ahead, unit="D").date, "yhat": np.expm1(center),
+                            "yhat_lower": np.expm1(center - half), "yhat_upper": np.expm1(center + half)})
+        for i, c in enumerate(by):
+            out.insert(i, c, [frame[c].iloc[0]] * len(out))
+        return out
+    keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
+    return series.groupBy(*by).applyInPandas(solve, f"{keys}, {_FORECAST}")

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from haulmetrics.functions.exprs import dbl, flag, nonzero
+from haulmetrics.functions.labels import LabelDictionary, fit_labels
 from haulmetrics.functions.quantiles import exact_quantiles
 from haulmetrics.session import cut_lineage
 from haulmetrics.schema import CRITICAL_COLUMNS, ID_COLUMNS, NUMBER_COLUMNS, ONE_HOT_COLUMNS
@@ -29,6 +30,7 @@ class Profile:
     modes: dict[str, str] = field(default_factory=dict)
     high_value: float | None = None
     levels: dict[str, list[str]] = field(default_factory=dict)
+    codes: LabelDictionary | None = None
 
 
 def is_number(t: T.DataType) -> bool:
@@ -65,15 +67,20 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: found.get(c, "Unknown") for c in columns}
 
 
-def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column, as many as there are: each becomes a column or a code."""
+# A column of up to so many levels becomes a column for each level, one of more gets a single column of codes.
+MAX_ONE_HOT = 5_000
+
+
+def category_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_ONE_HOT) -> dict[str, list[str]]:
+    """Sorted distinct values of the columns that have at most ``max_levels``; the levels are counted before any is fetched."""
     if not columns:
         return {}
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                                 for c in columns]))
-    distinct = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct()
-    out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in distinct.collect():
+    distinct = cut_lineage(df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct())
+    sizes = {r["name"]: r["count"] for r in distinct.groupBy("name").count().collect()}
+    out: dict[str, list[str]] = {c: [] for c in columns if sizes.get(c, 0) <= max_levels}
+    for r in distinct.where(F.col("name").isin(list(out))).collect():
         out[r["name"]].append(r["value"])
     return {c: sorted(v) for c, v in out.items()}
 
@@ -188,9 +195,14 @@ def risk_features(df: DataFrame, profile: Profile) -> DataFrame:
 
 
 def one_hot(df: DataFrame, profile: Profile) -> DataFrame:
-    """0/1 column per level except the first; an unknown or null value is all 0."""
-    return _add(df, {f"{c}_{level}": flag(F.col(c) == level)
+    """0/1 column per level except the first; an unknown or null value is all 0.
+
+    A column with too many levels for that gets ``<column>_encoded``, the place of its value
+    among the sorted levels, -1 for an unknown or null one.
+    """
+    wide = _add(df, {f"{c}_{level}": flag(F.col(c) == level)
                      for c, levels in profile.levels.items() if c in df.columns for level in levels[1:]})
+    return profile.codes.apply(wide) if profile.codes is not None else wide
 
 
 STEPS: dict[str, Callable[[DataFrame, Profile], DataFrame]] = {
@@ -234,7 +246,10 @@ def fit(df: DataFrame, steps: Sequence[str] | None = None, totals: DataFrame | N
         source = totals if totals is not None and "handle_missing_values" not in steps else kept
         profile.high_value = exact_quantiles(source, {"order_item_total": total}, [0.75])["order_item_total"][0]
     if "encode_categorical" in steps:
-        profile.levels = category_levels(kept, [c for c in ONE_HOT_COLUMNS if c in kept.columns])
+        present = [c for c in ONE_HOT_COLUMNS if c in kept.columns]
+        profile.levels = category_levels(kept, present)
+        many = [c for c in present if c not in profile.levels]
+        profile.codes = fit_labels(kept, many) if many else None
         for c, mode in profile.modes.items():
             if c in profile.levels and mode not in profile.levels[c]:
                 profile.levels[c] = sorted(profile.levels[c] + [mode])

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from haulmetrics.functions.exprs import dbl
+from haulmetrics.functions.grouped_quantiles import grouped_quantiles
 from haulmetrics.operators import delivery, preprocess as prep, risk
 from haulmetrics.plans.gaps import GAPS_SQL, gap_lines
 from haulmetrics.plans.metric_queries import rounded
 from haulmetrics.plans.registry import on_lines, query
+from haulmetrics.schema import CV_FOLDS
 from haulmetrics.session import cut_lineage
 from haulmetrics.sources.star import order_lines
 
@@ -77,8 +79,8 @@ def daily_series(spark, sf_dir):
 
 # --- delivery models ----------------------------------------------------------
 
-def train_delivery(df, names=None):
-    return delivery.train_delivery_models(df, names)
+def train_delivery(df, names=None, folds=0):
+    return delivery.train_delivery_models(df, names, folds=folds)
 
 
 def train_risk(df, names=None):
@@ -116,8 +118,8 @@ def score(spark, sf_dir):
 @query("d14_model_comparison")
 def model_comparison(spark, sf_dir):
     lines = delivery_lines(spark, sf_dir)
-    metrics = delivery.model_metrics(spark, train_delivery(lines))
-    return delivery.model_comparison(metrics, delivery.cross_validate(lines))
+    trained = train_delivery(lines, folds=CV_FOLDS)
+    return delivery.model_comparison(delivery.model_metrics(spark, trained), delivery.cv_table(spark, trained))
 
 
 @query("d16_forecast")
@@ -125,6 +127,32 @@ def forecast(spark, sf_dir):
     return delivery.forecast(order_lines(spark, sf_dir, ["order_ts", "days_real"]))
 
 
+@query("d16_forecast_by_region")
+def forecast_by_region(spark, sf_dir):
+    """A series and a forecast for every order region."""
+    return delivery.forecast_by(order_lines(spark, sf_dir, ["order_region", "order_ts", "days_real"]), ["order_region"])
+
+
+@query("d15_daily_series_by_region", on_lines("""
+SELECT order_region, CAST(ds AS VARCHAR) AS ds, y, n FROM (
+  SELECT order_region, CAST(order_ts AS DATE) AS ds, round(avg(days_real), 6) AS y, count(days_real) AS n
+  FROM ol GROUP BY 1, 2 HAVING count(days_real) >= 5)"""))
+def daily_series_by_region(spark, sf_dir):
+    out = delivery.daily_series(order_lines(spark, sf_dir, ["order_region", "order_ts", "days_real"]), by=["order_region"])
+    return rounded(out.withColumn("ds", F.col("ds").cast("string")))
+
+
+@query("d3_order_value_by_category", on_lines("""
+SELECT category_name, count(order_item_total) AS n, quantile_cont(CAST(order_item_total AS DOUBLE), 0.25) AS q25,
+  quantile_cont(CAST(order_item_total AS DOUBLE), 0.5) AS median, quantile_cont(CAST(order_item_total AS DOUBLE), 0.9) AS q90
+FROM ol GROUP BY category_name"""))
+def order_value_by_category(spark, sf_dir):
+    """Exact quantiles of a column with as many values as rows, per category."""
+    df = order_lines(spark, sf_dir, ["category_name", "order_item_total"])
+    out = grouped_quantiles(df, ["category_name"], "order_item_total", {"q25": 0.25, "median": 0.5, "q90": 0.9})
+    return out
+
+
 # --- late risk ----------------------------------------------------------------
 
 _RISK_CATEGORIES = ("shipping_mode", "customer_segment", "market", "order_region")
@@ -136,7 +164,20 @@ _RISK_CATEGORIES = ("shipping_mode", "customer_segment", "market", "order_region
     f"ON ol.{c} = l_{c}.{c}" for c in _RISK_CATEGORIES)))
 def label_encode(spark, sf_dir):
     df = order_lines(spark, sf_dir, ["line_key", *_RISK_CATEGORIES])
-    return risk.encode_labels(df, prep.category_levels(df, _RISK_CATEGORIES)).drop(*_RISK_CATEGORIES)
+    return risk.encode_labels(df, risk.fit_labels(df, _RISK_CATEGORIES)).drop(*_RISK_CATEGORIES)
+
+
+_MANY = ("customer_id", "product_id")
+
+
+@query("r2_large_dictionaries", on_lines("SELECT line_key, " + ", ".join(
+    f"l_{c}.code AS {c}_encoded" for c in _MANY) + " FROM ol " + " ".join(
+    f"JOIN (SELECT CAST({c} AS VARCHAR) AS v, CAST(dense_rank() OVER (ORDER BY CAST({c} AS VARCHAR)) - 1 AS INT) AS code FROM ol GROUP BY {c}) l_{c} "
+    f"ON CAST(ol.{c} AS VARCHAR) = l_{c}.v" for c in _MANY)))
+def large_dictionaries(spark, sf_dir):
+    """Columns with as many values as customers and products: their codes are tables."""
+    df = order_lines(spark, sf_dir, ["line_key", *_MANY])
+    return risk.encode_labels(df, risk.fit_labels(df, _MANY)).drop(*_MANY)
 
 
 # Stand-in scores for the metric queries: plain functions of the order line.
@@ -179,9 +220,8 @@ def roc_auc(spark, sf_dir):
     df = order_lines(spark, sf_dir, ["late_delivery_risk", "days_scheduled", "order_item_quantity"])
     sched = F.col("days_scheduled") / 4.0
     scores = {"scheduled": sched, "urgency": 1 - sched, "quantity": F.col("order_item_quantity") / 50.0}
-    rows = [(m, risk.roc_auc(df.select(dbl("late_delivery_risk").alias("late_delivery_risk"), s.cast("double").alias("score")), score="score"))
-            for m, s in scores.items()]
-    return rounded(spark.createDataFrame(rows, "model string, roc_auc double"))
+    rows = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), dbl(s).alias("score")) for m, s in scores.items()]))
+    return rounded(risk.roc_auc_by(df.select("late_delivery_risk", rows.alias("r")).select("late_delivery_risk", "r.*")))
 
 
 @query("r7_confusion_matrix", on_lines("SELECT model, tn, fp, fn, tp FROM confusion", ("scores", _SCORES), _CONFUSION))

@@ -1,12 +1,19 @@
 """Small fits: the models learn, repeat, and fail one by one."""
 
+import datetime
+import math
+
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from haulmetrics.operators import delivery, risk
-from haulmetrics.plans import model_queries, run_all
+import __spark_entry__ as entry
+from haulmetrics.operators import delivery, preprocess as prep, risk, stages
+from haulmetrics.plans import run_all
 from haulmetrics.plans.model_queries import delivery_lines, risk_lines
 from haulmetrics.plans.run_queries import RUN_COLUMNS
 from haulmetrics.sources.star import order_lines
@@ -94,15 +101,113 @@ def test_run_isolates_failures(spark, small):
     assert run.findings.where("analysis = 'cost_optimization'").count() == 2
 
 
-def test_registered_queries_train_all_models_at_full_depth(monkeypatch):
-    """No query hands the operators a list of models or a depth."""
-    asked = []
-    for module, name in ((delivery, "train_delivery_models"), (delivery, "cross_validate"), (risk, "train_risk_models")):
-        monkeypatch.setattr(module, name, lambda df, names=None, **options: asked.append((names, options)))
-    for name in ("model_metrics", "model_comparison"):
-        monkeypatch.setattr(delivery, name, lambda *given: None)
-    monkeypatch.setattr(model_queries, "delivery_lines", lambda spark, sf_dir: None)
-    for run in (model_queries.delivery_model_metrics, model_queries.cv_mae, model_queries.model_comparison):
-        run(None, "")
-    model_queries.train_risk(None)
-    assert asked == [(None, {})] * 5
+def test_scoring_takes_the_best_model_by_default(lines, trained):
+    named = delivery.predict_days(lines, trained, trained.best).orderBy("line_key").collect()
+    assert delivery.predict_days(lines, trained).orderBy("line_key").collect() == named
+    assert trained.best == min(trained.metrics, key=lambda m: trained.metrics[m]["mae"])
+
+
+def test_folds_share_one_table_and_no_model_is_fitted_twice(lines):
+    """Three folds and the whole make four fits; a model that fails has no score and stops none."""
+    fits = []
+
+    class Counted(LinearRegression):
+        def _fit(self, dataset):
+            fits.append(dataset.count())
+            return super()._fit(dataset)
+    trained = delivery.train_delivery_models(lines, folds=3, estimators={
+        "linear_regression": Counted(**SCALED), "broken": LinearRegression(featuresCol="no_such_column", labelCol="days_real")})
+    assert len(fits) == 4 and sorted(fits)[3] * 2 == sum(sorted(fits)[:3])
+    assert 0 < trained.cv_mae["linear_regression"] < 2 and trained.cv_mae["broken"] is None
+    alone = delivery.cross_validate(lines, folds=3, estimators={"linear_regression": LinearRegression(**SCALED)}).first()
+    assert alone["cv_mae"] == pytest.approx(trained.cv_mae["linear_regression"])
+
+
+def test_classifiers_see_a_bounded_share_of_each_class(spark):
+    df = spark.range(40_000).selectExpr("id AS line_key", "CAST(id % 4 = 0 AS INT) AS late_delivery_risk")
+    some = risk.bounded_rows(df, 8_000)
+    counts = {r[0]: r[1] for r in some.groupBy("late_delivery_risk").count().collect()}
+    assert 7_600 < sum(counts.values()) < 8_400 and counts[1] / sum(counts.values()) == pytest.approx(0.25, abs=0.02)
+    assert risk.bounded_rows(df, 40_000).count() == risk.bounded_rows(df, None).count() == 40_000
+    assert some.exceptAll(risk.bounded_rows(df.repartition(7), 8_000)).isEmpty()
+
+
+def test_encoders_join_long_dictionaries(spark, small):
+    df = risk_lines(spark, small)
+    short, long = (risk.fit_encoder(df, literal_levels=n) for n in (64, 1))
+    assert long.labels.tables and not short.labels.tables and set(short.features) == set(long.features)
+    columns = ["line_key", *sorted(short.features)]
+    assert short.apply(df, ["line_key"]).select(columns).exceptAll(long.apply(df, ["line_key"]).select(columns)).isEmpty()
+
+
+def test_saved_pipelines_score_alike(spark, small, lines, trained, tmp_path):
+    """Written, read again and applied to lines as they come."""
+    stages.delivery_pipeline(trained, "random_forest").write().save(str(tmp_path / "delivery"))
+    loaded = PipelineModel.load(str(tmp_path / "delivery"))
+    old = delivery.predict_days(lines, trained, "random_forest").withColumnRenamed("predicted_days", "p")
+    new = loaded.transform(lines).select("line_key", F.col("prediction").alias("p"))
+    assert old.exceptAll(new).isEmpty() and new.count() == lines.count()
+    df = risk_lines(spark, small)
+    fitted = risk.train_risk_models(df, estimators={"logistic": LogisticRegression(featuresCol="scaled", labelCol=risk.LABEL, maxIter=5)})
+    fitted.encoder = risk.fit_encoder(df, literal_levels=1)
+    order = fitted.encoder.features
+    fitted.models["logistic"] = PipelineModel([VectorAssembler(inputCols=order, outputCol="features"), *fitted.models["logistic"].stages[1:]])
+    stages.risk_pipeline(fitted).write().save(str(tmp_path / "risk"))
+    again = PipelineModel.load(str(tmp_path / "risk")).transform(df).select("line_key", F.col("prediction").cast("int").alias("predicted_late"))
+    assert risk.predict_risk(df, fitted).select("line_key", "predicted_late").exceptAll(again).isEmpty()
+    result = prep.preprocess(order_lines(spark, small))
+    stages.preprocessing_stage(result).write().save(str(tmp_path / "prep"))
+    same = stages.PreprocessingStage.load(str(tmp_path / "prep")).transform(order_lines(spark, small))
+    assert same.columns == result.data.columns and same.exceptAll(result.data).isEmpty()
+    with pytest.raises(ValueError):
+        stages.delivery_pipeline(trained, "nobody")
+
+
+def test_forecasts_per_key_equal_least_squares(spark):
+    rng = np.random.default_rng(5)
+    start = datetime.date(2021, 3, 1)
+    rows = []
+    for key, days in (("a", 500), ("b", 40), (None, 300)):
+        for d in range(days):
+            level = 4 + math.sin(2 * math.pi * d / 7) + 0.002 * d + rng.normal(0, 0.1)
+            rows += [(key, datetime.datetime.combine(start + datetime.timedelta(d), datetime.time(9)), level)] * 5
+    rows += [("short", datetime.datetime(2021, 3, 1), 4.0)] * 5
+    df = spark.createDataFrame(rows, "region string, order_ts timestamp_ntz, days_real double")
+    got = {}
+    for r in delivery.forecast_by(df, ["region"], periods=14).collect():
+        got.setdefault(r["region"], []).append(r)
+    assert set(got) == {"a", "b", None} and all(len(v) == 14 for v in got.values())
+    for key, days in (("a", 500), (None, 300)):
+        y = np.array([v for k, _, v in rows if k == key][::5])
+        day = (start - datetime.date(1970, 1, 1)).days + np.arange(days + 14)
+        x = delivery.season_matrix(day.astype(float), day[0], days - 1)
+        weights = np.linalg.lstsq(x[:days], np.log1p(y), rcond=None)[0]
+        mine = [r["yhat"] for r in sorted(got[key], key=lambda r: r["ds"])]
+        assert mine == pytest.approx(np.expm1(x[days:] @ weights), rel=2e-2)
+        assert all(r["yhat_lower"] < r["yhat"] < r["yhat_upper"] for r in got[key])
+    assert min(r["ds"] for r in got["a"]) == start + datetime.timedelta(500)
+    one = {r["ds"]: r["yhat"] for r in delivery.forecast(df.where("region = 'a'"), periods=14).collect()}
+    assert [one[r["ds"]] for r in got["a"]] == pytest.approx([r["yhat"] for r in got["a"]], rel=1e-3)
+
+
+MODEL_QUERIES = ("d9_d10_delivery_models", "d11_cv_mae", "d12_feature_importance", "d13_score", "d14_model_comparison",
+                 "r5_risk_models", "r9_risk_factors", "r10_predict", "o1_run_all", "d16_forecast_by_region")
+
+
+@pytest.mark.parametrize("name", MODEL_QUERIES)
+def test_model_queries_end_with_their_models(spark, name):
+    """As registered, on the smallest tables; forests grow to full depth."""
+    out = entry.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    if name in ("d9_d10_delivery_models", "d11_cv_mae", "d14_model_comparison", "r5_risk_models"):
+        assert len(out) == 3
+    if name in ("d13_score", "r10_predict"):
+        assert len(out) == order_lines(spark, "/root/testdata/sf0.001", ["line_key"]).count()
+    if name == "d9_d10_delivery_models":
+        assert all(r["error"] is None for r in out)
+    if name == "o1_run_all":
+        assert {r["status"] for r in out} == {"success"}
+
+
+def test_forests_are_registered_at_full_depth():
+    assert delivery.regressors()["random_forest"].getMaxDepth() == 30 and delivery.regressors()["random_forest"].getNumTrees() == 100
+    assert risk.classifiers(10)["rf"].getMaxDepth() == 30 and risk.classifiers(10)["rf"].getNumTrees() == 100
