@@ -11,6 +11,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
@@ -76,7 +77,8 @@ def nearest_facility(points: DataFrame, facilities: Places) -> DataFrame:
         F.col("_f.lon").alias("facility_lon"))
 
 
-def _distance_stats(assigned: DataFrame, by: Sequence[str]) -> DataFrame:
+def distance_stats(assigned: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Figures of each facility from points with ``facility_id, facility_lat, facility_lon``."""
     km = haversine_km("lat", "lon", "facility_lat", "facility_lon")
     return (assigned.withColumn("km", km).groupBy(*by, "facility_id", F.col("facility_lat").alias("latitude"),
                                                   F.col("facility_lon").alias("longitude"))
@@ -89,7 +91,7 @@ def _distance_stats(assigned: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def facility_stats(points: DataFrame, facilities: Places) -> DataFrame:
     """Customers, demand and km figures of each facility that serves any point."""
-    return _distance_stats(nearest_facility(points, facilities), [])
+    return distance_stats(nearest_facility(points, facilities), [])
 
 
 def facility_totals(stats: DataFrame, n_facilities: int) -> DataFrame:
@@ -189,32 +191,104 @@ def cheapest_set(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]
     return tuple(int(j) for j in members[row["set_id"]]), row["objective"]
 
 
-def p_median_sites(points: DataFrame, sites: Places, p: int, method: str = "exact") -> tuple[tuple[int, ...], float]:
+# Sets of sites that ``exact`` scores at most.
+MAX_SETS = 200_000
+
+
+@dataclass
+class SwapTerms:
+    """What changes of the open sites cost, for all changes at once.
+
+    Opening site j saves ``gain[j]``; closing open site i costs ``loss[i]``; doing both saves
+    ``extra[i, j]`` more than the two together, as points of i may go to j.
+    """
+    cost: float
+    gain: np.ndarray
+    loss: np.ndarray
+    extra: np.ndarray
+
+
+def swap_terms(points: DataFrame, sites: Places, chosen: Sequence[int]) -> SwapTerms:
+    """One pass over the points: each knows its nearest and second-nearest open site.
+
+    Tasks fold their points into one row of sums for each open site, so the work is points
+    times candidates, and the driver gets as many numbers as there are swaps.
+    """
+    places = np.array(sites, dtype=float)
+    order = list(chosen)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cost, gain = 0.0, np.zeros(len(places))
+        loss, extra = np.zeros(max(1, len(order))), np.zeros((max(1, len(order)), len(places)))
+        for batch in batches:
+            for start in range(0, len(batch), POINTS_PER_BLOCK):
+                part = batch.iloc[start:start + POINTS_PER_BLOCK]
+                km = km_matrix(part["lat"].to_numpy(), part["lon"].to_numpy(), places)
+                demand = part["demand"].to_numpy(dtype=float)
+                if not order:
+                    gain -= demand @ km
+                    continue
+                open_km = km[:, order]
+                nearest = open_km.argmin(axis=1)
+                first = open_km[np.arange(len(part)), nearest]
+                open_km[np.arange(len(part)), nearest] = np.inf
+                second = open_km.min(axis=1)
+                cost += demand @ first
+                gain += demand @ np.maximum(first[:, None] - km, 0)
+                alone = np.isinf(second)
+                np.add.at(loss, nearest, demand * np.where(alone, 0, second - first))
+                between = np.where(alone[:, None], np.minimum(first[:, None] - km, 0),
+                                   np.maximum(second[:, None] - np.maximum(km, first[:, None]), 0))
+                np.add.at(extra, nearest, demand[:, None] * between)
+        yield pd.DataFrame({"i": range(len(loss)), "loss": loss, "extra": [e.tobytes() for e in extra],
+                            "cost": [cost] + [0.0] * (len(loss) - 1), "gain": [gain.tobytes()] + [b""] * (len(loss) - 1)})
+
+    def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        total = lambda column: sum(np.frombuffer(x) for x in parts[column] if x)
+        gain = total("gain") if key[0] == 0 else np.zeros(0)
+        return pd.DataFrame({"i": [key[0]], "loss": [parts["loss"].sum()], "extra": [total("extra").tobytes()],
+                             "cost": [parts["cost"].sum()], "gain": [gain.tobytes()]})
+    schema = "i int, loss double, extra binary, cost double, gain binary"
+    partial = points.select("lat", "lon", "demand").mapInPandas(fold, schema)
+    rows = sorted(partial.groupBy("i").applyInPandas(add, schema).collect(), key=lambda r: r["i"])
+    return SwapTerms(rows[0]["cost"], np.frombuffer(rows[0]["gain"]), np.array([r["loss"] for r in rows]),
+                     np.stack([np.frombuffer(r["extra"]) for r in rows]))
+
+
+def p_median_sites(points: DataFrame, sites: Places, p: int, method: str = "exact",
+                   max_sets: int = MAX_SETS) -> tuple[tuple[int, ...], float]:
     """Site numbers of the chosen set and its objective.
 
-    ``exact`` scores every set of p sites; ``exchange`` adds sites greedily and then swaps one
-    for one while that helps, for problems whose sets are too many to score.
+    ``exact`` scores every set of p sites and refuses if there are more than ``max_sets``;
+    ``exchange`` adds sites greedily and then swaps one for one while that helps, each step
+    one pass that values all candidates.
     """
     m = len(sites)
     if m < p:
         raise ValueError(f"{m} candidate sites are too few for {p} facilities")
     if method not in ("exact", "exchange"):
         raise ValueError(f"unknown method {method}")
+    if method == "exact" and math.comb(m, p) > max_sets:
+        raise ValueError(f"{math.comb(m, p)} sets of {p} of {m} sites are more than {max_sets}; use method=\"exchange\"")
     # Few rows with much work each: spread them by the cores, not by their bytes.
     points = points.repartition(points.sparkSession.sparkContext.defaultParallelism).persist()
     try:
         if method == "exact":
             return cheapest_set(points, sites, list(itertools.combinations(range(m), p)))
-        chosen: tuple[int, ...] = ()
-        cost = math.inf
+        chosen: list[int] = []
         while len(chosen) < p:
-            chosen, cost = cheapest_set(points, sites, [chosen + (j,) for j in range(m) if j not in chosen])
+            gain = swap_terms(points, sites, chosen).gain.copy()
+            gain[chosen] = -np.inf
+            chosen.append(int(gain.argmax()))
         while True:
-            swaps = [tuple(sorted(set(chosen) - {out} | {j})) for out in chosen for j in range(m) if j not in chosen]
-            swapped, new_cost = cheapest_set(points, sites, swaps) if swaps else (chosen, cost)
-            if new_cost >= cost * (1 - 1e-12):
-                return tuple(sorted(chosen)), cost
-            chosen, cost = swapped, new_cost
+            chosen.sort()
+            terms = swap_terms(points, sites, chosen)
+            profit = terms.gain - terms.loss[:, None] + terms.extra
+            profit[:, chosen] = -np.inf
+            out, new = np.unravel_index(int(profit.argmax()), profit.shape)
+            if p == m or profit[out, new] <= terms.cost * 1e-12:
+                return tuple(chosen), terms.cost
+            chosen[out] = int(new)
     finally:
         points.unpersist()
 
@@ -229,11 +303,11 @@ def nearest_by_km(points: DataFrame, facilities: Places) -> DataFrame:
         F.col("_f.lon").alias("facility_lon"))
 
 
-def p_median(points: DataFrame, sites: Places, p: int = 5, method: str = "exact") -> DataFrame:
+def p_median(points: DataFrame, sites: Places, p: int = 5, method: str = "exact", max_sets: int = MAX_SETS) -> DataFrame:
     """Statistics of the chosen sites with the objective on every row; points with ``missing="one"``."""
-    chosen, objective = p_median_sites(points, sites, p, method)
+    chosen, objective = p_median_sites(points, sites, p, method, max_sets)
     opened = [sites[j] for j in chosen]
-    return _distance_stats(nearest_by_km(points, opened), []).withColumn("objective", F.lit(objective))
+    return distance_stats(nearest_by_km(points, opened), []).withColumn("objective", F.lit(objective))
 
 
 # --- coverage -----------------------------------------------------------------
@@ -327,7 +401,7 @@ def by_region(df: DataFrame, region: str = "order_region", k: int = 2, starts: i
         near = nearest_in(F.col("centers"), "lat", "lon")
         assigned = joined.select(region, "lat", "lon", "customers", "demand", near["id"].alias("facility_id"),
                                  near["lat"].alias("facility_lat"), near["lon"].alias("facility_lon"))
-        return cut_lineage(_distance_stats(assigned, [region]))
+        return cut_lineage(distance_stats(assigned, [region]))
     finally:
         kept.unpersist()
 

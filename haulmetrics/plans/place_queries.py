@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from haulmetrics.functions.geo import haversine_km
-from haulmetrics.operators import metrics, routing, stops, warehouse
+from haulmetrics.operators import facility_tables, metrics, routing, stops, warehouse
 from haulmetrics.plans.gaps import GAP_COLUMNS
 from haulmetrics.plans.metric_queries import rounded
 from haulmetrics.plans.registry import on_lines, query
@@ -165,6 +165,49 @@ def coverage(spark, sf_dir):
     return warehouse.coverage(points(spark, sf_dir), FACILITIES, RADIUS_KM)
 
 
+# Facilities as a table: at every latitude with customers the westernmost place is one.
+_SITE_TABLE = ("facilities", "SELECT CAST(round((lat + 90) * 1000000) AS BIGINT) AS id, lat AS f_lat, min(lon) AS f_lon FROM points GROUP BY lat")
+TABLE_RADIUS_KM = 150.0
+
+
+def site_table(places):
+    return places.groupBy("lat").agg(F.min("lon").alias("lon")).select(
+        F.round((F.col("lat") + 90) * 1000000).cast("long").alias("id"), "lat", "lon")
+
+
+@query("w2_nearest_of_table", on_lines(
+    "SELECT lat, lon, customers, id AS facility_id FROM nearest", _POINTS, _SITE_TABLE, _NEAREST))
+def nearest_of_table(spark, sf_dir):
+    places = cut_lineage(points(spark, sf_dir))
+    return facility_tables.nearest_of_table(places, site_table(places)).select("lat", "lon", "customers", "facility_id")
+
+
+@query("w3_stats_of_table", on_lines(_STATS.format(source="nearest").replace("CAST(id AS INT)", "id"), _POINTS, _SITE_TABLE, _NEAREST))
+def stats_of_table(spark, sf_dir):
+    places = cut_lineage(points(spark, sf_dir))
+    return _rounded_stats(facility_tables.facility_stats_of_table(places, site_table(places)))
+
+
+_TABLE_KM = ("kms", f"SELECT *, {hav('lat', 'lon', 'f_lat', 'f_lon')} AS km FROM points, facilities")
+
+
+@query("w6_coverage_of_table", on_lines(f"""
+SELECT facility_id, n AS customers_in_range, round(n / total * 100, 2) AS coverage_pct, CAST(total - n AS BIGINT) AS customers_out_of_range
+FROM (SELECT id AS facility_id, CAST(coalesce(sum(customers) FILTER (km <= {TABLE_RADIUS_KM}), 0) AS BIGINT) AS n FROM kms GROUP BY id
+      UNION ALL SELECT -1, CAST(sum(customers) AS BIGINT) FROM (SELECT DISTINCT lat, lon, customers FROM kms WHERE km <= {TABLE_RADIUS_KM})),
+     (SELECT CAST(sum(customers) AS DOUBLE) AS total FROM points)""", _POINTS, _SITE_TABLE, _TABLE_KM))
+def coverage_of_table(spark, sf_dir):
+    places = cut_lineage(points(spark, sf_dir))
+    return facility_tables.coverage_of_table(places, site_table(places), TABLE_RADIUS_KM)
+
+
+@query("w5_p_median_exchange")
+def p_median_exchange(spark, sf_dir):
+    """Ten facilities out of sixty candidates, whose sets are too many to score."""
+    sites = warehouse.candidate_sites(order_lines(spark, sf_dir, PLACE), 60)
+    return _rounded_stats(warehouse.p_median(points(spark, sf_dir), sites, 10, method="exchange"))
+
+
 @query("w7_scenarios")
 def scenarios(spark, sf_dir):
     return warehouse.compare_counts(points(spark, sf_dir))
@@ -335,6 +378,12 @@ def min_total(spark, sf_dir):
     return stops.route_rollup(routing.strategy_stops(region_stops(spark, sf_dir), "min_total"))
 
 
+@query("g12_fallbacks")
+def fallbacks(spark, sf_dir):
+    """Which regions meet the route limit."""
+    return routing.min_total_fallbacks(region_stops(spark, sf_dir))
+
+
 @query("g14_strategy_benchmark")
 def strategy_benchmark(spark, sf_dir):
     return routing.benchmark_strategies(routing.all_strategies(region_stops(spark, sf_dir)))

@@ -73,6 +73,33 @@ def first_rows(df: DataFrame, key: str | Sequence[str], n: int = 5) -> DataFrame
     return df.orderBy(*([key] if isinstance(key, str) else key)).limit(n)
 
 
-def hash_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
-    """A repeatable random sample of n rows, independent of partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+# Rows that one task may hold at the border of a sample.
+SORTED_ROWS = 10_000
+
+
+def hash_sample(df: DataFrame, key: str, n: int, seed: int = SEED, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+    """A repeatable random sample: the n rows with the least hashes of their key, independent of partitioning.
+
+    The hash below which rows are taken comes from counts of its leading bits, refined until
+    what is left of the sample fits ``sorted_rows``; only those few rows are sorted. Rows
+    that share one key share a hash and are refined no further.
+    """
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    ordered = lambda rows, count: rows.orderBy(h, F.col(key)).limit(count)
+    if n <= sorted_rows:
+        return ordered(df, n)
+    low, high, left = -(1 << 63), 1 << 63, n
+    for shift in (48, 32, 16, 0):
+        inside = df.where((h >= low) & (h <= high - 1))
+        counts = sorted(inside.groupBy(F.shiftright(h, shift).alias("step")).count().collect())  # 65,536 steps at most
+        for step, count in counts:
+            if count > left:
+                low, high = step << shift, (step + 1) << shift
+                break
+            left -= count
+        else:
+            return df
+        if left <= sorted_rows:
+            break
+    below = df.where(h < low)
+    return below.unionByName(ordered(df.where((h >= low) & (h <= high - 1)), left)) if left else below
