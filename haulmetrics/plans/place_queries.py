@@ -192,13 +192,16 @@ _TABLE_KM = ("kms", f"SELECT *, {hav('lat', 'lon', 'f_lat', 'f_lon')} AS km FROM
 
 
 @query("w6_coverage_of_table", on_lines(f"""
-SELECT facility_id, n AS customers_in_range, round(n / total * 100, 2) AS coverage_pct, CAST(total - n AS BIGINT) AS customers_out_of_range
+SELECT facility_id, n AS customers_in_range, round(n / total * 100, 6) AS coverage_pct, CAST(total - n AS BIGINT) AS customers_out_of_range
 FROM (SELECT id AS facility_id, CAST(coalesce(sum(customers) FILTER (km <= {TABLE_RADIUS_KM}), 0) AS BIGINT) AS n FROM kms GROUP BY id
       UNION ALL SELECT -1, CAST(sum(customers) AS BIGINT) FROM (SELECT DISTINCT lat, lon, customers FROM kms WHERE km <= {TABLE_RADIUS_KM})),
      (SELECT CAST(sum(customers) AS DOUBLE) AS total FROM points)""", _POINTS, _SITE_TABLE, _TABLE_KM))
 def coverage_of_table(spark, sf_dir):
     places = cut_lineage(points(spark, sf_dir))
-    return facility_tables.coverage_of_table(places, site_table(places), TABLE_RADIUS_KM)
+    served = facility_tables.coverage_of_table(places, site_table(places), TABLE_RADIUS_KM)
+    # Two digits, as the operator gives them, leave shares on the border between two roundings.
+    share = F.col("customers_in_range") / (F.col("customers_in_range") + F.col("customers_out_of_range")) * 100
+    return served.withColumn("coverage_pct", F.round(share, 6))
 
 
 @query("w5_p_median_exchange")
