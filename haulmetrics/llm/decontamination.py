@@ -2,9 +2,11 @@
 
 Numbers, names and units of a text become typed placeholders, so a question asked again with
 other values gives the same template. Windows of five tokens of the templates are joined by
-hash. Matches on one diagonal of a document and an item are a segment; the segment counts if
-its slots are consistent, which means that one value of the item always stands for one value
-of the document.
+hash. Matches on one diagonal of a document and an item are a segment; those of its windows
+count whose slots are consistent, which means that one value of the item stands for one value
+of the document on the whole diagonal, or for itself. Windows in lower case with the values
+in place are joined in the same way, so copies in another case and items of few plain words
+are found too.
 """
 
 from __future__ import annotations
@@ -59,64 +61,62 @@ def _slot(token: Column, low: Column, before: Callable[[], Column], i: Column) -
                   & ((token != F.upper(token)) | (F.length(token) == 1)), "<name>"))
 
 
-def template(text: Column) -> Column:
-    """Template tokens of a text: placeholders, and lower-cased words as they are."""
+def _typed(text: Column) -> Column:
+    """Template tokens of a text as ``c``, the placeholder or lower-cased word, with ``low``, the lower-cased token itself."""
     def typed(tokens: Column) -> Column:
         def one(token: Column, i: Column) -> Column:
-            return _let(F.lower(token), lambda low: F.coalesce(_slot(token, low, lambda: F.get(tokens, i - 1), i), low))
-        return F.filter(F.transform(tokens, one), lambda t: ~t.isin(*MARKS))
+            return _let(F.lower(token), lambda low: F.struct(
+                F.coalesce(_slot(token, low, lambda: F.get(tokens, i - 1), i), low).alias("c"), low.alias("low")))
+        return F.filter(F.transform(tokens, one), lambda t: ~t["low"].isin(*MARKS))
     return _let(_tokens(text), typed)
 
 
-def slot_values(text: Column) -> Column:
-    """For every template token the value that its placeholder stands for, null for a word."""
-    def typed(tokens: Column) -> Column:
-        def one(token: Column, i: Column) -> Column:
-            low = F.lower(token)
-            slot = _slot(token, low, lambda: F.get(tokens, i - 1), i)
-            return F.struct(low.alias("low"), F.when(slot.isNotNull(), low).alias("v"))
-        return F.filter(F.transform(tokens, one), lambda t: ~t["low"].isin(*MARKS))["v"]
-    return _let(_tokens(text), typed)
+def template(text: Column) -> Column:
+    """Template tokens of a text: placeholders, and lower-cased words as they are."""
+    return _typed(text)["c"]
 
 
-def window_hashes(text: Column, width: int = WINDOW) -> Column:
-    """Hash of every window of the template, in text order; of a shorter text the hash of the whole, if any."""
-    return _let(template(text), lambda tokens: F.when(F.size(tokens) > 0, F.transform(
+def _hashes(tokens: Column, field: str, width: int) -> Column:
+    """Hash of every window of the given field, in text order; of fewer tokens the hash of the whole, if any."""
+    return F.when(F.size(tokens) > 0, F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(tokens) - width + 1, F.lit(1))),
-        lambda start: F.xxhash64(F.slice(tokens, start, width)))))
+        lambda start: F.xxhash64(F.slice(tokens, start, width)[field])))
 
 
-def _window_values(values: Column, start: Column, width: int = WINDOW) -> Column:
-    """Values of the slots of one window, in order; null if it has none."""
-    own = F.filter(F.slice(values, start, width), lambda v: v.isNotNull())
-    return F.when(F.size(own) > 0, own)
-
-
-def words(text: Column) -> Column:
-    """The tokens of the template in lower case, values in place of the placeholders."""
-    return F.filter(F.transform(_tokens(text), F.lower), lambda t: ~t.isin(*MARKS))
+def window_hashes(text: Column, width: int = WINDOW) -> Column:
+    """Hash of every window of the template, in text order; of a shorter text the hash of the whole, if any."""
+    return _let(_typed(text), lambda tokens: _hashes(tokens, "c", width))
 
 
-def _items(benchmark: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``hashes, values, item_id, words``; items with equal windows and values are one, with the smallest id."""
-    items = benchmark.select(F.col(id_col).alias("item_id"), window_hashes(F.col(text_col)).alias("hashes"),
-                             slot_values(F.col(text_col)).alias("values"), words(F.col(text_col)).alias("words")).filter("hashes is not null")
-    return items.groupBy("hashes", "values").agg(F.min("item_id").alias("item_id"), F.first("words").alias("words")).filter("item_id is not null")
+def _slots(tokens: Column, start: Column, width: int = WINDOW) -> Column:
+    """Values that the placeholders of one window stand for, in order; null if it has none."""
+    own = F.filter(F.slice(tokens, start, width), lambda t: t["c"].startswith("<"))["low"]
+    return F.when(F.size(own) > 0, own)
 
 
 def benchmark_windows(benchmark: DataFrame, text_col: str = "text", id_col: str = "item_id") -> DataFrame:
-    """``h, item_id, at, slots, n_windows`` of the windows that are evidence.
+    """``kind, width, h, item_id, at, slots, n_used, n_all`` of all windows that are evidence.
 
-    Those have LITERALS plain words, or half their tokens if the text is shorter than a
-    window. Items with equal windows and values are one, with the smallest id.
+    Kind 0 are template windows with LITERALS plain words, or half their tokens if the text is
+    shorter than a window, with the values of their placeholders; kind 1 are all windows in
+    lower case with the values in place. An item shorter than a window is one window of its
+    own ``width``. Items with equal windows and values are one, with the smallest id.
     """
-    same = _items(benchmark, text_col, id_col)
-    cut = same.select("item_id", "values", F.posexplode("hashes").alias("at", "h")).select(
-        "item_id", "at", "h", _window_values(F.col("values"), F.col("at") + 1).alias("slots"),
-        F.least(F.size("values"), F.lit(WINDOW)).alias("tokens"))
-    plain = F.col("tokens") - F.coalesce(F.size("slots"), F.lit(0))
-    used = cut.filter(plain >= F.least(F.lit(LITERALS), F.ceil(F.col("tokens") / 2))).drop("tokens")
-    return used.withColumn("n_windows", F.count("*").over(Window.partitionBy("item_id")))
+    typed = benchmark.select(F.col(id_col).alias("item_id"), _typed(F.col(text_col)).alias("tokens")).filter(F.size("tokens") > 0)
+    items = typed.groupBy("tokens").agg(F.min("item_id").alias("item_id")).filter("item_id is not null")
+    size = F.least(F.size("tokens"), F.lit(WINDOW))
+    cut = items.select("item_id", "tokens", size.alias("width"), F.posexplode(
+        F.arrays_zip(_hashes(F.col("tokens"), "c", WINDOW).alias("c"), _hashes(F.col("tokens"), "low", WINDOW).alias("low"))).alias("at", "h"))
+    cut = cut.withColumn("slots", _slots(F.col("tokens"), F.col("at") + 1))
+    plain = F.col("width") - F.coalesce(F.size("slots"), F.lit(0))
+    used = plain >= F.least(F.lit(LITERALS), F.ceil(F.col("width") / 2))
+    of_item = Window.partitionBy("item_id")
+    counted = cut.select("item_id", "width", "at", "slots", "h", used.alias("used"), F.count_if(used).over(of_item).alias("n_used"),
+                         F.count("*").over(of_item).alias("n_all"))
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("h.c").alias("h"), F.col("used").alias("keep")),
+                    F.struct(F.lit(1).alias("kind"), F.col("h.low").alias("h"), F.lit(True).alias("keep")))
+    return counted.select("*", F.explode(kinds).alias("k")).filter("k.keep").select(
+        "k.kind", "width", "k.h", "item_id", "at", F.when(F.col("k.kind") == 0, F.col("slots")).alias("slots"), "n_used", "n_all", "used")
 
 
 def text_key(text: Column) -> list[Column]:
@@ -125,103 +125,87 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole).alias("k2")]
 
 
-def _matches(keyed: DataFrame, table: DataFrame) -> DataFrame:
-    """``k1, k2, item_id, n_windows, diagonal, at, pairs`` of equal template windows; ``pairs`` of the values, null without slots."""
-    if table.count() <= BROADCAST_WINDOWS:
-        table = F.broadcast(table)
-    exploded = keyed.select("k1", "k2", F.posexplode(window_hashes(F.col("text"))).alias("pos", "h"))
-    hits = written(exploded.join(table, "h").select(
-        "k1", "k2", "item_id", "pos", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "n_windows", "slots").distinct(), "hits")
+def _document_windows(text: Column, widths: list[int]) -> Column:
+    """``kind, width, pos, h`` of the template windows of a text and of its lower-cased windows of every width."""
+    none = F.array().cast("array<struct<kind:int,width:int,pos:int,h:bigint>>")
+
+    def entries(tokens: Column, kind: int, width: int, many: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), many - 1), lambda pos: F.struct(
+            F.lit(kind).alias("kind"), F.lit(width).alias("width"), pos.alias("pos"),
+            F.xxhash64(F.slice(tokens, pos + 1, width)["low" if kind else "c"]).alias("h")))
+
+    def cut(tokens: Column) -> Column:
+        size = F.size(tokens)
+        typed = F.when(size > 0, entries(tokens, 0, WINDOW, F.greatest(size - WINDOW + 1, F.lit(1)))).otherwise(none)
+        return F.concat(typed, *[F.when(size >= w, entries(tokens, 1, w, size - w + 1)).otherwise(none) for w in widths])
+    return _let(_typed(text), cut)
+
+
+def _hits(keyed: DataFrame, table: DataFrame) -> DataFrame:
+    """``k1, k2, item_id, kind, diagonal, at, used, n_used, n_all, pairs`` of equal windows; ``pairs`` of the values, null without slots."""
+    widths = sorted(r["width"] for r in table.select("width").distinct().collect())  # WINDOW at most
+    if not widths:
+        widths = [WINDOW]
+    evidence = table.withColumn("width", F.when(F.col("kind") == 0, WINDOW).otherwise(F.col("width")))
+    if evidence.count() <= BROADCAST_WINDOWS:
+        evidence = F.broadcast(evidence)
+    exploded = keyed.select("k1", "k2", F.explode(_document_windows(F.col("text"), widths)).alias("w")).select("k1", "k2", "w.*")
+    hits = written(exploded.join(evidence, ["kind", "width", "h"]).select(
+        "k1", "k2", "item_id", "kind", "pos", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "used", "n_used", "n_all", "slots").distinct(), "hits")
     # Values are looked up in the texts only where a window with slots matched.
     slotted = hits.filter("slots is not null")
     wanted = written(slotted.select("k1", "k2").distinct(), "texts-with-slots")
     texts = keyed.join(wanted, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text")).select(
-        "k1", "k2", slot_values(F.col("text")).alias("values"))
+        "k1", "k2", _typed(F.col("text")).alias("tokens"))
     filled = slotted.join(written(texts, "slot-values"), ["k1", "k2"]).withColumn("pairs", F.arrays_zip(
-        F.col("slots").alias("item"), _window_values(F.col("values"), F.col("pos") + 1).alias("doc"))).drop("values")
+        F.col("slots").alias("item"), _slots(F.col("tokens"), F.col("pos") + 1).alias("doc"))).drop("tokens")
     plain = hits.filter("slots is null").withColumn("pairs", F.lit(None).cast(filled.schema["pairs"].dataType))
     return plain.unionByName(filled)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
-          item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
-    """``k1, k2, item_id, similarity, run`` for every text and item with matching windows that reach a bound.
-
-    ``similarity`` is the share of the item's windows found in consistent segments, ``run``
-    the windows of the longest one; a pair counts from ``similarity`` on, or RUN windows.
-    """
-    table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
-    keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
-    segments = _matches(keyed, table).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
-        F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = segments.filter(F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item"))))
-    found = consistent.groupBy("k1", "k2", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("seen"), F.max(F.size("ats")).alias("run"))
-    return found.withColumn("similarity", F.col("seen") / F.col("n_windows")).filter(
-        (F.col("similarity") >= similarity) | (F.col("run") >= RUN)).select("k1", "k2", "item_id", "similarity", "run")
-
-
 def _uncontradicted(windows: Column) -> Column:
     """``at`` of the windows of a diagonal, without those in which an item's value stands for one of several values of the document.
 
     Windows without slots and slots with the item's own value always count.
     """
     def kept(pairs: Column) -> Column:
-        torn = F.filter(pairs, lambda p: F.exists(pairs, lambda q: (q["item"] == p["item"]) & (q["doc"] != p["doc"])))
+        # In the order of item and value, several values of one item stand side by side.
+        sides = F.array_sort(pairs)
+        torn = F.array_distinct(F.transform(F.filter(F.zip_with(sides, F.slice(sides, 2, F.size(sides)), lambda a, b: F.struct(
+            a["item"].alias("one"), b["item"].alias("two"))), lambda p: p["one"] == p["two"]), lambda p: p["one"]))
         return _let(torn, lambda t: F.filter(windows, lambda w: w["pairs"].isNull() | F.forall(
-            w["pairs"], lambda p: (p["item"] == p["doc"]) | ~F.array_contains(t, p)))["at"])
+            w["pairs"], lambda p: (p["item"] == p["doc"]) | ~F.array_contains(t, p["item"])))["at"])
     return _let(F.array_distinct(F.flatten(F.filter(windows["pairs"], lambda p: p.isNotNull()))), kept)
 
 
-def literal_windows(benchmark: DataFrame, text_col: str = "text", id_col: str = "item_id") -> DataFrame:
-    """``h, item_id, at, width`` of all windows of the items in lower case with their values; of a shorter item the whole."""
-    size = F.size("words")
-    cut = _items(benchmark, text_col, id_col).select("item_id", F.least(size, F.lit(WINDOW)).alias("width"), F.posexplode(
-        F.transform(F.sequence(F.lit(1), F.greatest(size - WINDOW + 1, F.lit(1))),
-                    lambda start: F.xxhash64(F.slice("words", start, WINDOW)))).alias("at", "h"))
-    return cut.select("h", "item_id", "at", "width")
-
-
-def _literal_hashes(text: Column, widths: list[int]) -> Column:
-    """``pos, h`` of the windows of each width, in lower case with the values."""
-    def cut(tokens: Column, width: int) -> Column:
-        hashes = F.transform(F.sequence(F.lit(0), F.size(tokens) - width), lambda pos: F.struct(
-            pos.alias("pos"), F.xxhash64(F.slice(tokens, pos + 1, width)).alias("h")))
-        return F.when(F.size(tokens) >= width, hashes).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
-    return _let(words(text), lambda tokens: F.concat(*[cut(tokens, w) for w in widths]))
-
-
 def passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
              item_text_col: str = "text", item_id_col: str = "item_id") -> DataFrame:
-    """``k1, k2, item_id, similarity, run`` as ``leaks`` gives them, by weaker conditions.
+    """``k1, k2, item_id, similarity, run`` for every text and item with matching windows that reach a bound.
 
     Of a diagonal only the windows that contradict each other are lost. Windows equal but for
     case count beside the template windows, whatever they consist of. ``similarity`` is the
     larger of two shares: of the item's template windows those found either way, and of all its
-    windows those found literally. An item shorter than a window matches wherever its words stand in a row.
+    windows those found literally; ``run`` the windows of the fullest diagonal. A pair counts
+    from ``similarity`` on, or RUN windows. An item shorter than a window matches wherever its
+    words stand in a row.
     """
     keyed = docs.select(*text_key(F.col(text_col)), F.col(text_col).alias("text"))
     table = written(benchmark_windows(benchmark, item_text_col, item_id_col), "benchmark-windows")
-    literal = written(literal_windows(benchmark, item_text_col, item_id_col), "benchmark-literals")
-    widths = sorted(r["width"] for r in literal.select("width").distinct().collect()) or [WINDOW]
-    used = table.groupBy("item_id").agg(F.collect_set("at").alias("used"))
-    items = written(literal.groupBy("item_id").agg(F.count("*").alias("n_all")).join(used, "item_id", "left"), "benchmark-items")
-    segments = _matches(keyed, table).groupBy("k1", "k2", "item_id", "n_windows", "diagonal").agg(
-        F.collect_set(F.struct("at", "pairs")).alias("windows"))
+    facts = F.struct("used", "n_used", "n_all").alias("facts")
+    hits = _hits(keyed, table).select("k1", "k2", "item_id", "kind", "diagonal", "at", "pairs", facts)
+    segments = hits.filter("kind = 0").groupBy("k1", "k2", "item_id", "diagonal").agg(
+        F.collect_set(F.struct("at", "pairs")).alias("windows"), F.first("facts").alias("facts"))
     typed = segments.select("k1", "k2", "item_id", "diagonal", F.explode(_uncontradicted(F.col("windows"))).alias("at"),
-                            F.lit(None).cast("int").alias("as_is"))
-    if literal.count() <= BROADCAST_WINDOWS:
-        literal = F.broadcast(literal)
-    exploded = keyed.select("k1", "k2", F.explode(_literal_hashes(F.col("text"), widths)).alias("w")).select("k1", "k2", "w.pos", "w.h")
-    same = exploded.join(literal, "h").select("k1", "k2", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "at",
-                                              F.col("at").alias("as_is"))
-    diagonals = written(typed.unionByName(same).groupBy("k1", "k2", "item_id", "diagonal").agg(
-        F.collect_set("at").alias("ats"), F.collect_set("as_is").alias("as_is")), "diagonals")
-    found = diagonals.groupBy("k1", "k2", "item_id").agg(
-        F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.max(F.size("ats")).alias("run"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("as_is")))).alias("literally")).join(items, "item_id")
-    either = F.when(F.col("used").isNotNull(), F.size(F.array_intersect("ats", "used")) / F.size("used"))
-    return found.withColumn("similarity", F.greatest(either, F.col("literally") / F.col("n_all"))).filter(
+                            F.lit(True).alias("used"), F.lit(False).alias("as_is"), "facts.n_used", "facts.n_all")
+    same = hits.filter("kind = 1").select("k1", "k2", "item_id", "diagonal", "at", "facts.used", F.lit(True).alias("as_is"), "facts.n_used", "facts.n_all")
+    spots = typed.unionByName(same).groupBy("k1", "k2", "item_id", "diagonal", "at", "n_used", "n_all").agg(
+        F.max("used").alias("used"), F.max("as_is").alias("as_is"))
+    diagonals = written(spots.groupBy("k1", "k2", "item_id", "diagonal", "n_used", "n_all").agg(
+        F.collect_set(F.struct("at", "used", "as_is")).alias("spots")), "diagonals")
+    found = diagonals.groupBy("k1", "k2", "item_id", "n_used", "n_all").agg(
+        F.array_distinct(F.flatten(F.collect_list("spots"))).alias("spots"), F.max(F.size("spots")).alias("run"))
+    share = lambda field, n: F.try_divide(F.size(F.array_distinct(F.filter("spots", lambda s: s[field])["at"])), F.col(n))
+    return found.withColumn("similarity", F.greatest(share("used", "n_used"), share("as_is", "n_all"))).filter(
         (F.col("similarity") >= similarity) | (F.col("run") >= RUN)).select("k1", "k2", "item_id", "similarity", "run")
 
 
@@ -232,7 +216,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     equal texts get equal results, empty tables work on either side, and columns of ``docs``
     with these names are replaced. Long texts are cut into windows whole.
     """
-    found = leaks(docs, benchmark, text_col, **options)
+    found = passages(docs, benchmark, text_col, **options)
     best = found.groupBy("k1", "k2").agg(F.countDistinct("item_id").alias("n_items"),
                                          F.min(F.struct(-F.col("similarity"), "item_id"))["item_id"].alias("item_id"))
     added = ("contaminated", "n_items", "item_id")

@@ -111,34 +111,46 @@ f AS (SELECT doc_id, host, path, evidence, site_prior, 1 / (1 + exp(-(ln(site_pr
 SELECT doc_id, host, path, round(evidence, 6) AS evidence, round(site_prior, 6) AS site_prior, round(score, 6) AS score, score >= 0.5 AS good FROM f"""
 
 
-def _windows(table: str, id_col: str) -> str:
-    """Typed tokens and windows of five; needs the list of units as ``units``."""
+def _typed_tokens(table: str, id_col: str) -> str:
+    """``id, ts``: tokens without marks as ``c`` (placeholder or word), ``v`` (a placeholder's value) and ``w`` (in lower case)."""
     token = r"\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,]\p{N}+)*|[.!?]"
     return f"""
-SELECT id, i - 1 AS pos, w.c AS c, list_filter(w.v, lambda x: x IS NOT NULL) AS v, greatest(len(ts) - 4, 1) AS places FROM (
-SELECT id, ts, i, {{'c': list_transform(ts[i:i + 4], lambda x: x.c), 'v': list_transform(ts[i:i + 4], lambda x: x.v)}} AS w FROM (
-SELECT id, ts, unnest(range(1, greatest(len(ts) - 4, 1) + 1)) AS i FROM (
 SELECT id, list_transform(list_filter(list_transform(range(1, len(a) + 1), lambda i: {{'t': a[i], 'k': CASE
   WHEN regexp_matches(a[i], '^\\p{{N}}') THEN '<num>'
   WHEN regexp_matches(coalesce(a[i - 1], ''), '^\\p{{N}}') AND list_contains(us, lower(a[i])) THEN '<unit>'
   WHEN a[i] <> lower(a[i]) AND i > 1 AND NOT list_contains(['.', '!', '?'], a[i - 1]) AND (a[i] <> upper(a[i]) OR length(a[i]) = 1) THEN '<name>' END}}),
-  lambda x: NOT list_contains(['.', '!', '?'], x.t)), lambda x: {{'c': coalesce(x.k, lower(x.t)), 'v': CASE WHEN x.k IS NOT NULL THEN lower(x.t) END}}) AS ts
-FROM (SELECT {id_col} AS id, regexp_extract_all(coalesce(text, ''), '{token}') AS a, us FROM {table} CROSS JOIN (SELECT list(unit) AS us FROM units))) WHERE len(ts) > 0))
-WHERE len(w.c) - len(list_filter(w.v, lambda x: x IS NOT NULL)) >= least(3, ceil(len(w.c) / 2))"""
+  lambda x: NOT list_contains(['.', '!', '?'], x.t)),
+  lambda x: {{'c': coalesce(x.k, lower(x.t)), 'v': CASE WHEN x.k IS NOT NULL THEN lower(x.t) END, 'w': lower(x.t)}}) AS ts
+FROM (SELECT {id_col} AS id, regexp_extract_all(coalesce(text, ''), '{token}') AS a, us FROM {table} CROSS JOIN (SELECT list(unit) AS us FROM units))"""
+
+
+_CUT = """SELECT id, i - 1 AS pos, list_transform(ts[i:i + 4], lambda x: x.c) AS c, list_transform(ts[i:i + 4], lambda x: x.w) AS w,
+  list_filter(list_transform(ts[i:i + 4], lambda x: x.v), lambda x: x IS NOT NULL) AS v
+FROM (SELECT id, ts, unnest(range(1, greatest(len(ts) - 4, 1) + 1)) AS i FROM {0} WHERE len(ts) > 0)"""
 
 
 def decontamination(units: list[str]) -> str:
     return f"""
 WITH units AS (SELECT unnest({units!r}) AS unit),
-bw0 AS MATERIALIZED ({_windows("benchmark", "item_id")}),
-same AS (SELECT min(id) AS id FROM (SELECT id, list((pos, c, v) ORDER BY pos) AS k FROM bw0 GROUP BY id) GROUP BY k),
-bw AS (SELECT * FROM bw0 JOIN same USING (id)),
-nw AS (SELECT id AS item, count(*) AS n FROM bw GROUP BY id),
-dw AS ({_windows("documents", "doc_id")}),
-hits AS (SELECT dw.id AS doc, bw.id AS item, dw.pos - bw.pos AS diag, bw.pos AS spot, list_zip(bw.v, dw.v) AS pairs FROM dw JOIN bw USING (c)),
-seg AS (SELECT doc, item, diag, list(DISTINCT spot) AS ats, list_distinct(flatten(list(pairs))) AS pairs FROM hits GROUP BY ALL),
-good AS (SELECT * FROM seg WHERE len(pairs) = len(list_distinct(list_transform(pairs, lambda x: x[1])))),
-found AS (SELECT doc, item, len(list_distinct(flatten(list(ats)))) / any_value(n) AS sim, max(len(ats)) AS run FROM good JOIN nw USING (item) GROUP BY ALL),
+bt AS MATERIALIZED ({_typed_tokens("benchmark", "item_id")}),
+dt AS MATERIALIZED ({_typed_tokens("documents", "doc_id")}),
+bw AS (SELECT *, len(c) - len(v) >= least(3, ceil(len(c) / 2)) AS used FROM ({_CUT.format("(SELECT min(id) AS id, ts FROM bt GROUP BY ts HAVING min(id) IS NOT NULL)")})),
+dw AS ({_CUT.format("dt")}),
+sizes AS (SELECT id AS item, count(*) AS n_all, count(*) FILTER (used) AS n_used FROM bw GROUP BY id),
+hits AS (SELECT dw.id AS doc, bw.id AS item, dw.pos - bw.pos AS diag, bw.pos AS spot, list_zip(bw.v, dw.v) AS pairs FROM dw JOIN bw ON dw.c = bw.c AND bw.used),
+values_ AS (SELECT doc, item, diag, spot, p[1] AS a, p[2] AS b FROM (SELECT * EXCLUDE (pairs), unnest(pairs) AS p FROM hits)),
+torn AS (SELECT doc, item, diag, a FROM values_ GROUP BY ALL HAVING count(DISTINCT b) > 1),
+lost AS (SELECT DISTINCT doc, item, diag, spot FROM values_ JOIN torn USING (doc, item, diag, a) WHERE a <> b),
+typed AS (SELECT DISTINCT doc, item, diag, spot FROM hits ANTI JOIN lost USING (doc, item, diag, spot)),
+lw AS (SELECT id, pos - 1 AS pos, list_transform(ts[pos:pos + width - 1], lambda x: x.w) AS w FROM (
+  SELECT id, ts, width, unnest(range(1, len(ts) - width + 2)) AS pos FROM dt CROSS JOIN (SELECT DISTINCT len(w) AS width FROM bw))),
+literal AS (SELECT DISTINCT lw.id AS doc, bw.id AS item, lw.pos - bw.pos AS diag, bw.pos AS spot FROM lw JOIN bw USING (w)),
+spots AS (SELECT DISTINCT doc, item, diag, spot FROM (SELECT * FROM typed UNION ALL SELECT * FROM literal)),
+runs AS (SELECT doc, item, max(n) AS run FROM (SELECT doc, item, diag, count(*) AS n FROM spots GROUP BY ALL) GROUP BY ALL),
+either AS (SELECT doc, item, count(DISTINCT spot) AS n FROM spots JOIN bw ON bw.id = item AND bw.pos = spot AND bw.used GROUP BY ALL),
+as_is AS (SELECT doc, item, count(DISTINCT spot) AS n FROM literal GROUP BY ALL),
+found AS (SELECT doc, item, run, greatest(CASE WHEN n_used > 0 THEN coalesce(either.n, 0) / n_used END, coalesce(as_is.n, 0) / n_all) AS sim
+          FROM runs JOIN sizes USING (item) LEFT JOIN either USING (doc, item) LEFT JOIN as_is USING (doc, item)),
 best AS (SELECT doc, count(DISTINCT item) AS n_items, first(item ORDER BY sim DESC, item) AS item_id FROM found WHERE sim >= 0.8 OR run >= 9 GROUP BY doc)
 SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, item_id FROM documents LEFT JOIN best ON doc = doc_id"""
 
