@@ -5,8 +5,10 @@ depends on content only: a start belongs to the bucket of the least hash among t
 strings inside its ``length`` bytes, so equal strings always share a bucket. Neighbouring starts
 of one bucket form a piece. A bit filter first finds the buckets that occur twice at all; pieces
 that occur twice as they are need no sorting; the different pieces of a bucket are sorted block
-by block. A bucket with more different pieces than a block holds is split further by the hash of
-each whole string.
+by block. A bucket with too many different pieces is split by more content: all its strings
+contain the 64 bytes, so each contains at least half of the other bytes to the left of them or to
+the right, and every piece becomes two, by those bytes on the left or on the right. That is
+repeated while a part has too many, and each part is sorted in the same way.
 """
 
 from __future__ import annotations
@@ -84,8 +86,9 @@ class Cutter:
         least = np.minimum(right[:starts], left[span - 1:span - 1 + starts])
         return (least & np.uint64((1 << 20) - 1)).astype(np.int64)
 
-    def pieces(self, texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Buffers of bytes with their pieces: text, start in the text, start in the buffer, starts, bucket, repeats inside."""
+    def pieces(self, texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Buffers of bytes with the place of every start's least hash, and their pieces: text, start in the text, start in the buffer,
+        starts, bucket, repeats inside."""
         held: list[tuple[int, int, bytes]] = []
         size = 0
         for i, text in enumerate(texts):
@@ -120,7 +123,7 @@ class Cutter:
         several = np.bincount(run[moved], minlength=len(first)) > 0 if len(first) else np.zeros(0, bool)
         texts, bases = (np.array(x, np.int64) for x in zip(*((i, at) for i, at, _ in held), strict=True))
         who = owner[first]
-        return (buffer, texts[who], first - (ends - sizes)[who] + bases[who], first, counts, buckets[first], several)
+        return (buffer, places, texts[who], first - (ends - sizes)[who] + bases[who], first, counts, buckets[first], several)
 
 
 def _words(buckets: np.ndarray) -> np.ndarray:
@@ -178,7 +181,7 @@ def _found_pieces(texts: DataFrame, length: int, bits: bytes) -> DataFrame:
         cutter, known = Cutter(length), np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            for buffer, who, at, first, counts, buckets, several in cutter.pieces(batch.column(2).to_pylist()):
+            for buffer, _, who, at, first, counts, buckets, several in cutter.pieces(batch.column(2).to_pylist()):
                 use = np.flatnonzero(_passes(known, buckets))
                 spans = zip(first[use].tolist(), (first + counts + length - 1)[use].tolist(), strict=True)
                 names = np.array([xxhash.xxh3_64_intdigest(buffer[a:b]) for a, b in spans], np.uint64)
@@ -189,10 +192,25 @@ def _found_pieces(texts: DataFrame, length: int, bits: bytes) -> DataFrame:
     return texts.mapInArrow(find, "bucket long, piece long, several boolean, k1 long, k2 long, at long, starts long")
 
 
+def _signed(value: int) -> int:
+    return value - (value >> 63 << 64)
+
+
+_OPEN = "bucket long, piece long, start long, core long, size long, bytes binary"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)],
+                                      [name for name, _ in fields])
+
+
 def _open_texts(texts: DataFrame, length: int, sorted_bits: bytes, crowded_bits: bytes) -> DataFrame:
-    """``bucket, piece, start, hash, bytes`` of pieces to compare, once for each batch of documents.
+    """``bucket, piece, start, core, size, bytes`` of pieces to compare, once for each batch of documents.
 
-    A piece has its bytes, or in a crowded bucket one row for each start with its string's hash.
+    In a crowded bucket a piece comes in runs of starts with one place of the least hash, from
+    ``start`` on, with that place in the bytes as ``core`` and its ``size``; else whole, with ``core`` -1.
     """
     context = texts.sparkSession.sparkContext
     shared = context.broadcast((sorted_bits, crowded_bits))
@@ -202,28 +220,59 @@ def _open_texts(texts: DataFrame, length: int, sorted_bits: bytes, crowded_bits:
         filters = [np.frombuffer(b, np.uint8) for b in shared.value]
         for batch in batches:
             seen: set[tuple[int, int]] = set()
-            for buffer, _, _, first, counts, buckets, _ in cutter.pieces(batch.column(2).to_pylist()):
+            for buffer, places, _, _, first, counts, buckets, _ in cutter.pieces(batch.column(2).to_pylist()):
                 rows: list[tuple] = []
                 crowded = _passes(filters[1], buckets)
                 for i in np.flatnonzero(crowded | _passes(filters[0], buckets)).tolist():
                     a, n, bucket = int(first[i]), int(counts[i]), int(buckets[i:i + 1].view(np.int64)[0])
                     data = buffer[a:a + n + length - 1]
-                    piece = xxhash.xxh3_64_intdigest(data)
+                    piece = _signed(xxhash.xxh3_64_intdigest(data))
                     if (bucket, piece) in seen:
                         continue
                     seen.add((bucket, piece))
-                    piece -= (piece >> 63) << 64
-                    if crowded[i]:
-                        for k in range(n):
-                            value = xxhash.xxh3_64_intdigest(data[k:k + length], seed=1)
-                            rows.append((bucket, piece, k, value - (value >> 63 << 64), None))
-                    else:
-                        rows.append((bucket, piece, -1, 0, data))
+                    if not crowded[i]:
+                        rows.append((bucket, piece, 0, -1, 0, data))
+                        continue
+                    own = places[a:a + n]
+                    begins = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))).tolist()
+                    for k, end in zip(begins, [*begins[1:], n], strict=True):
+                        rows.append((bucket, piece, k, int(own[k]) - a - k, GRAM, data[k:end + length - 1]))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                        zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                        ["bucket", "piece", "start", "hash", "bytes"])
-    return texts.mapInArrow(cut, "bucket long, piece long, start long, hash long, bytes binary")
+                    yield _batch(rows, _OPEN)
+    return texts.mapInArrow(cut, _OPEN)
+
+
+def halves(start: int, core: int, size: int, data: bytes, length: int) -> list[tuple[int, int, int, bytes, int]]:
+    """A run of starts in two: those with half of the open bytes before the core, and the others.
+
+    All strings contain the core. ``start, core, size, bytes, side`` have the longer core that
+    the strings of a half have in common with it: bytes before it on side 0, after it on side 1.
+    """
+    free, n = length - size, len(data) - length + 1
+    before = (free + 1) // 2
+    border = min(max(core - before + 1, 0), n)
+    parts = []
+    if border:
+        parts.append((start, core - before, size + before, data[:border + length - 1], 0))
+    if border < n:
+        parts.append((start + border, core - border, size + free - before + 1, data[border:], 1))
+    return parts
+
+
+def _split(length: int):
+    """Per task: ``bucket, piece, start, core, size, bytes`` in halves, with the ``part`` of the bucket by their core."""
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for bucket, piece, first, core, size, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for start, at, common, part, side in halves(first, core, size, data, length):
+                    key = xxhash.xxh3_64_intdigest(part[at:at + common], seed=common << 1 | side)
+                    rows.append((_signed(key), bucket, piece, start, at, common, part, _signed(xxhash.xxh3_64_intdigest(part))))
+            yield _batch(rows, _PARTS)
+    return split
+
+
+_PARTS = "part long, bucket long, piece long, start long, core long, size long, bytes binary, same long"
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -232,10 +281,10 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return [(int(r[0]), int(r[-1])) for r in np.split(starts, breaks)] if len(starts) else []
 
 
-def sorted_block(pieces: list[tuple[int, int, bytes]], length: int) -> list[tuple[int, int, int, int]]:
-    """Of whole buckets, ``bucket, piece, first, last`` for each run of starts whose string is there twice."""
-    text = np.frombuffer(b"".join(p for _, _, p in pieces), np.uint8)
-    sizes = np.array([len(p) for _, _, p in pieces])
+def sorted_block(pieces: list[tuple], length: int) -> list[tuple]:
+    """Of whole buckets, ``name, first, last`` for each run of starts whose string is there twice; ``pieces`` are names and bytes."""
+    text = np.frombuffer(b"".join(p for *_, p in pieces), np.uint8)
+    sizes = np.array([len(p) for *_, p in pieces])
     begins = np.cumsum(sizes) - sizes
     counts = sizes - length + 1
     owner = np.repeat(np.arange(len(pieces)), counts)
@@ -245,9 +294,8 @@ def sorted_block(pieces: list[tuple[int, int, bytes]], length: int) -> list[tupl
     hit[order[shared]] = True
     found = []
     for i in np.unique(owner[hit[starts]]).tolist():
-        bucket, piece, _ = pieces[i]
         own = np.flatnonzero(hit[begins[i]:begins[i] + counts[i]])
-        found += [(bucket, piece, a, b) for a, b in _runs(own)]
+        found += [(pieces[i][0], a, b) for a, b in _runs(own)]
     return found
 
 
@@ -255,44 +303,62 @@ _SPANS = "bucket long, piece long, first long, last long"
 
 
 def _sort_blocks(length: int):
-    """Per task: buckets come together; sort as many whole ones at once as a block holds."""
+    """Per task: rows ``part, bucket, piece, start, bytes`` of one part come together; sort as many whole parts at once as a block holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple[int, int, bytes]] = []
-        bucket: list[tuple[int, int, bytes]] = []
-        size = 0
+        block: list[tuple] = []
+        part: list[tuple] = []
+        size, last = 0, None
 
         def flush() -> Iterator[pa.RecordBatch]:
             found = sorted_block(block, length) if block else []
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)],
-                                                 ["bucket", "piece", "first", "last"])
+                yield _batch([(bucket, piece, start + a, start + b) for (bucket, piece, start), a, b in found], _SPANS)
         for batch in batches:
-            for name, piece, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if bucket and bucket[-1][:2] == (name, piece):
+            for name, bucket, piece, start, data in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if part and name == last and part[-1][0] == (bucket, piece, start):
                     continue
-                if bucket and bucket[-1][0] != name:
-                    block += bucket
-                    bucket = []
+                if name != last:
+                    block += part
+                    part, last = [], name
                     if size > BLOCK_TEXT:
                         yield from flush()
                         block, size = [], 0
-                bucket.append((name, piece, data))
+                part.append(((bucket, piece, start), data))
                 size += len(data)
-        block += bucket
+        block += part
         yield from flush()
     return run
 
 
-def _join_runs(key: list[str], found: DataFrame) -> DataFrame:
-    """Runs of starts from single ones; ``found`` has ``start`` and few rows for each key."""
-    starts = found.groupBy(*key).agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    edges = starts.withColumn("s", F.explode("starts")).select(
-        *key, F.col("s"), (~F.array_contains("starts", F.col("s") - 1)).alias("opens"),
-        (~F.array_contains("starts", F.col("s") + 1)).alias("closes"))
-    firsts = edges.groupBy(*key).agg(F.array_sort(F.collect_list(F.when(F.col("opens"), F.col("s")))).alias("a"),
-                                     F.array_sort(F.collect_list(F.when(F.col("closes"), F.col("s")))).alias("b"))
-    return firsts.select(*key, F.explode(F.arrays_zip("a", "b")).alias("r")).select(
-        *key, F.col("r.a").alias("first"), F.col("r.b").alias("last"))
+def _sorted_parts(rows: DataFrame, length: int) -> DataFrame:
+    return rows.select("part", "bucket", "piece", "start", "bytes").repartition("part").sortWithinPartitions(
+        "part", "bucket", "piece", "start").mapInArrow(_sort_blocks(length), _SPANS)
+
+
+def crowded_spans(rows: DataFrame, length: int, bucket_pieces: int) -> DataFrame | None:
+    """``bucket, piece, first, last``: runs of starts whose string is repeated, for runs of starts of crowded buckets.
+
+    ``rows`` has ``bucket, piece, start, core, size, bytes``. Each round splits every run in
+    two. Runs with equal bytes are repeated whole, and one of them stands for all in what
+    follows; a part with few enough different runs is sorted, one with more is split again.
+    After at most the logarithm of the length a part's core is the whole string.
+    """
+    found = None
+    rows = written(rows.dropDuplicates(["bucket", "piece", "start"]), "crowded-runs")
+    while rows.take(1):
+        parts = written(rows.mapInArrow(_split(length), _PARTS), "crowded-parts")
+        first = F.min(F.struct("bucket", "piece", "start")).alias("first")
+        classes = written(parts.groupBy("part", "same").agg(F.count("*").alias("n"), first), "crowded-classes")
+        kinds = written(classes.groupBy("part").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "crowded-kinds")
+        whole = parts.join(classes.filter("n > 1").select("part", "same"), ["part", "same"]).select(
+            "bucket", "piece", F.col("start").alias("first"), (F.col("start") + F.octet_length("bytes") - length).alias("last"))
+        lone = classes.join(kinds, "part").select("part", "kinds", "first.*")
+        left = written(parts.join(lone, ["part", "bucket", "piece", "start"]), "crowded-left")
+        sorted_runs = _sorted_parts(left.filter(F.col("kinds") <= bucket_pieces), length)
+        now = written(whole.unionByName(sorted_runs), "crowded-spans")
+        found = now if found is None else found.unionByName(now)
+        rows = left.filter(F.col("kinds") > bucket_pieces).select("bucket", "piece", "start", "core", "size", "bytes")
+    return found
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, max_filter_bytes: int = MAX_FILTER_BYTES,
@@ -313,14 +379,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, max_filter_bytes: int
     ordinary = unequal.filter(F.col("kinds") <= bucket_pieces)
     texts_open = written(_open_texts(texts, length, _bucket_filter(ordinary, ordinary.count(), max_filter_bytes),
                                      _bucket_filter(crowded, crowded.count(), max_filter_bytes)), "open-pieces")
-    by_sorting = texts_open.filter("start < 0").select("bucket", "piece", "bytes").repartition("bucket").sortWithinPartitions(
-        "bucket", "piece").mapInArrow(_sort_blocks(length), _SPANS)
-    strings = texts_open.filter("start >= 0").select("bucket", "hash", "piece", "start")
-    place = F.struct("piece", "start")
-    twice = written(strings.groupBy("bucket", "hash").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-                    .filter("a <> b").select("bucket", "hash"), "repeated-strings")
-    by_hash = _join_runs(["bucket", "piece"], strings.join(twice, ["bucket", "hash"]).select("bucket", "piece", "start"))
-    partial = written(by_sorting.unionByName(by_hash).groupBy("bucket", "piece").agg(
+    runs = _sorted_parts(texts_open.filter("core < 0").withColumn("part", F.col("bucket")), length)
+    split = crowded_spans(texts_open.filter("core >= 0"), length, bucket_pieces)
+    partial = written((runs if split is None else runs.unionByName(split)).groupBy("bucket", "piece").agg(
         F.collect_set(F.struct("first", "last")).alias("runs")), "piece-runs")
     once = written(pieces.filter("n > 1").select("bucket", "piece"), "whole-pieces")
     whole = found.join(once, ["bucket", "piece"]).select(
