@@ -348,7 +348,7 @@ def forecast_by(df: DataFrame, by: Sequence[str], periods: int = FORECAST_DAYS,
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
         if len(frame) < 2:
-            return pd.DataFrame({c: [] for c in [*by, "ds", "yhat", "yhat_lower", "yhat_upper"]})
+            return pd.DataFrame(columns=[*by, "ds", "yhat", "yhat_lower", "yhat_upper"], dtype=object)
         frame = frame.sort_values("day")
         ahead, center, spread = fit_series(frame["day"].to_numpy(np.float64), frame["y"].to_numpy(np.float64), periods)
         half = Z_80 * spread
