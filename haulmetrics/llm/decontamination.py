@@ -129,15 +129,16 @@ def _document_windows(text: Column, widths: list[int]) -> Column:
     """``kind, width, pos, h`` of the template windows of a text and of its lower-cased windows of every width."""
     none = F.array().cast("array<struct<kind:int,width:int,pos:int,h:bigint>>")
 
-    def entries(tokens: Column, kind: int, width: int, many: Column) -> Column:
+    def entries(names: Column, kind: int, width: int, many: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), many - 1), lambda pos: F.struct(
-            F.lit(kind).alias("kind"), F.lit(width).alias("width"), pos.alias("pos"),
-            F.xxhash64(F.slice(tokens, pos + 1, width)["low" if kind else "c"]).alias("h")))
+            F.lit(kind).alias("kind"), F.lit(width).alias("width"), pos.alias("pos"), F.xxhash64(F.slice(names, pos + 1, width)).alias("h")))
 
     def cut(tokens: Column) -> Column:
         size = F.size(tokens)
-        typed = F.when(size > 0, entries(tokens, 0, WINDOW, F.greatest(size - WINDOW + 1, F.lit(1)))).otherwise(none)
-        return F.concat(typed, *[F.when(size >= w, entries(tokens, 1, w, size - w + 1)).otherwise(none) for w in widths])
+        # The names are taken out of the tokens once, not for every window.
+        typed = F.when(size > 0, _let(tokens["c"], lambda c: entries(c, 0, WINDOW, F.greatest(size - WINDOW + 1, F.lit(1))))).otherwise(none)
+        return F.concat(typed, _let(tokens["low"], lambda low: F.concat(
+            *[F.when(size >= w, entries(low, 1, w, size - w + 1)).otherwise(none) for w in widths])))
     return _let(_typed(text), cut)
 
 
