@@ -4,7 +4,8 @@ A naive Bayes classifier over binned text measures gives every document its evid
 likelihood ratio. Sites are summarised by grouped sums of labels, or of the classifier's
 probability where there is none: a path's rate is shrunk toward its host's, a host's toward the
 global one, with strengths estimated from how much the rates vary beyond chance. The score
-combines the evidence with the path's posterior as prior.
+combines the evidence with the path's posterior as prior. Every sum that a document meets leaves
+that document out, so neither its evidence counts twice nor its label for itself.
 """
 
 from __future__ import annotations
@@ -45,11 +46,17 @@ MEASURES = ("size", "symbols", "shouts", "capitals", "digits", "blanks", "lines"
 
 @dataclass(frozen=True)
 class Evidence:
+    """Share of good labels, and log likelihood ratios of the bins of every measure, three times:
+
+    as an unlabelled document meets them, one with label 0 and one with label 1, which leave its own count out.
+    """
+
     prior: float
     ratios: dict[str, list[float]]
 
     def column(self) -> Column:
-        total = sum((F.get(F.lit(self.ratios[m]), F.col(m)) for m in MEASURES), F.lit(0.0))
+        own = (F.coalesce(F.col("label"), F.lit(-1)) + 1) * BINS
+        total = sum((F.get(F.lit(self.ratios[m]), F.col(m) + own) for m in MEASURES), F.lit(0.0))
         return F.lit(EVIDENCE_WEIGHT) * total
 
 
@@ -61,11 +68,14 @@ def fit_evidence(measured: DataFrame) -> Evidence:
     counts = {(r["measure"], r["bin"], r["label"]): r["count"] for r in
               pairs.groupBy("b.measure", "b.bin", "label").count().collect()}
     total = [sum(n for (m, _, k), n in counts.items() if m == MEASURES[0] and k == c) for c in (0, 1)]
+
+    def log_rate(m: str, b: int, label: int, own: int, used: int) -> float:
+        out = int(own == label)
+        return math.log((max(counts.get((m, b, label), 0) - out, 0) + SMOOTHING) / (max(total[label] - out, 0) + SMOOTHING * used))
     ratios = {}
     for m in MEASURES:
         used = len({b for mm, b, _ in counts if mm == m}) + 1
-        ratios[m] = [math.log((counts.get((m, b, 1), 0) + SMOOTHING) / (total[1] + SMOOTHING * used))
-                     - math.log((counts.get((m, b, 0), 0) + SMOOTHING) / (total[0] + SMOOTHING * used)) for b in range(BINS)]
+        ratios[m] = [log_rate(m, b, 1, own, used) - log_rate(m, b, 0, own, used) for own in (-1, 0, 1) for b in range(BINS)]
     return Evidence((total[1] + 1) / (sum(total) + 2), ratios)
 
 
@@ -79,29 +89,49 @@ def _strength(chance: float | None, seen: float | None, expected: float | None,
     return min(max((chance or 0.0) / between - 1, MIN_STRENGTH), MAX_STRENGTH) if between > 0 else MAX_STRENGTH
 
 
-def site_posteriors(measured: DataFrame, prior: float) -> tuple[DataFrame, float]:
-    """``host, path, site_prior`` for every path, and the global rate.
+@dataclass(frozen=True)
+class Pooling:
+    """Sums over all documents and the strengths of the global rate for hosts and of a host's rate for its paths."""
+
+    n: int
+    mass: int
+    rate_without: float
+    host_strength: float
+    path_strength: float
+
+    def prior_of_rest(self) -> Column:
+        """The path's posterior rate from all documents but the row's own, of a row with its ``mass`` and its sites' sums."""
+        rest = lambda n, mass: ((mass - F.col("mass")) / 1e6, n - 1)
+        good, others = rest(F.lit(self.n), F.lit(self.mass))
+        rate = F.when(others > 0, F.least(F.greatest(F.try_divide(good, others), F.lit(1e-6)), F.lit(1 - 1e-6))).otherwise(self.rate_without)
+        good, others = rest(F.col("host_n"), F.col("host_mass"))
+        host = (good + self.host_strength * rate) / (others + self.host_strength)
+        good, others = rest(F.col("path_n"), F.col("path_mass"))
+        return F.least(F.greatest((good + self.path_strength * host) / (others + self.path_strength), F.lit(1e-6)), F.lit(1 - 1e-6))
+
+
+def pool_sites(measured: DataFrame, prior: float) -> tuple[DataFrame, Pooling]:
+    """``host, path, path_n, path_mass, host_n, host_mass`` for every path, and what all of them share.
 
     ``measured`` has ``host, path, mass``: successes in millionths, whole numbers, so sums
-    don't depend on their order. Hosts are sums of their paths.
+    don't depend on their order and a document can be taken out exactly. Hosts are sums of
+    their paths. ``prior`` is the rate where no other document is left.
     """
-    paths = written(measured.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("mass").alias("mass")), "paths")
-    hosts = written(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass")), "hosts")
-    whole = hosts.agg(F.sum("n").alias("n"), F.sum("mass").alias("mass")).first()
-    rate = whole["mass"] / 1e6 / whole["n"] if whole["n"] else prior
-    rate = min(max(rate, 1e-6), 1 - 1e-6)
-    own = F.col("mass") / 1e6 / F.col("n")
-    spread = hosts.agg(F.sum(F.col("n") * (own - rate) ** 2).alias("seen"), F.count("*").alias("sites")).first()
-    strength = _strength(rate * (1 - rate), spread["seen"], rate * (1 - rate) * spread["sites"], whole["n"])
-    posts = written(hosts.select("host", ((F.col("mass") / 1e6 + strength * rate) / (F.col("n") + strength)).alias("host_rate")),
-                    "host-rates")
-    joined = written(paths.join(posts, "host"), "path-rates")
-    chance = F.col("host_rate") * (1 - F.col("host_rate"))
-    spread = joined.agg(F.sum(F.col("n") * (own - F.col("host_rate")) ** 2).alias("seen"), F.sum(chance).alias("expected"),
-                        (F.sum(chance * F.col("n")) / F.sum("n")).alias("chance")).first()
-    inner = _strength(spread["chance"], spread["seen"], spread["expected"], whole["n"])
-    return joined.select("host", "path", ((F.col("mass") / 1e6 + inner * F.col("host_rate")) / (F.col("n") + inner))
-                         .alias("site_prior")), rate
+    paths = written(measured.groupBy("host", "path").agg(F.count("*").alias("path_n"), F.sum("mass").alias("path_mass")), "paths")
+    hosts = written(paths.groupBy("host").agg(F.sum("path_n").alias("host_n"), F.sum("path_mass").alias("host_mass")), "hosts")
+    whole = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_mass").alias("mass")).first()
+    n, mass = whole["n"] or 0, whole["mass"] or 0
+    rate = min(max(mass / 1e6 / n if n else prior, 1e-6), 1 - 1e-6)
+    own = F.col("host_mass") / 1e6 / F.col("host_n")
+    spread = hosts.agg(F.sum(F.col("host_n") * (own - rate) ** 2).alias("seen"), F.count("*").alias("sites")).first()
+    outer = _strength(rate * (1 - rate), spread["seen"], rate * (1 - rate) * spread["sites"], n)
+    sites = written(paths.join(hosts, "host"), "sites")
+    host = (F.col("host_mass") / 1e6 + outer * rate) / (F.col("host_n") + outer)
+    rated = sites.select("path_n", (F.col("path_mass") / 1e6 / F.col("path_n")).alias("own"), host.alias("host"))
+    chance = F.col("host") * (1 - F.col("host"))
+    spread = rated.agg(F.sum(F.col("path_n") * (F.col("own") - F.col("host")) ** 2).alias("seen"), F.sum(chance).alias("expected"),
+                       (F.sum(chance * F.col("path_n")) / F.sum("path_n")).alias("chance")).first()
+    return sites, Pooling(n, mass, prior, outer, _strength(spread["chance"], spread["seen"], spread["expected"], n))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = 0.5,
@@ -111,7 +141,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     ``labels`` has the id and 1 or 0; several labels of one id count by their largest, null
     ones and those of unknown ids don't count. A null text is measured as an empty one, a null
     host or path is the site ''. Without any label the prior is one half and all evidence is
-    zero. Repeated documents count and come out as often as they occur; an empty table gives
+    zero. ``site_prior`` and ``evidence`` come from all rows but the document's own, so that of
+    a document alone on its site is the prior of the site above; only the two strengths and the
+    number of bins in use are those of all rows. Repeated documents count and come out as often as they occur; an empty table gives
     an empty result; further columns aren't read.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
@@ -125,8 +157,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     rows = measured.withColumn("evidence", evidence.column()).withColumn(
         "mass", F.coalesce(F.col("label") * 1_000_000, F.round(likely * 1_000_000)).cast("long")).select(
         "doc_id", "host", "path", "evidence", "mass")
-    sites, _ = site_posteriors(rows, evidence.prior)
-    sites = written(sites.withColumn("site_prior", F.least(F.greatest("site_prior", F.lit(1e-6)), F.lit(1 - 1e-6))), "sites")
+    sites, pooling = pool_sites(rows, evidence.prior)
     score = 1 / (1 + F.exp(-(_logit(F.col("site_prior")) + F.col("evidence"))))
-    return rows.drop("mass").join(sites, ["host", "path"]).withColumn("score", score).withColumn(
+    return rows.join(sites, ["host", "path"]).withColumn("site_prior", pooling.prior_of_rest()).withColumn("score", score).withColumn(
         "good", F.col("score") >= threshold).select("doc_id", "host", "path", "evidence", "site_prior", "score", "good")

@@ -92,9 +92,10 @@ m AS (SELECT row_number() OVER () AS row, doc_id, host, path, label, {", ".join(
 u AS ({" UNION ALL ".join(f"SELECT row, label, '{k}' AS measure, {i} AS nr, {k} AS b FROM m" for i, k in enumerate(_MEASURES))}),
 tot AS (SELECT count(*) FILTER (label = 1) AS t1, count(*) FILTER (label = 0) AS t0 FROM m),
 used AS (SELECT measure, count(DISTINCT b) + 1 AS k FROM u WHERE label IS NOT NULL GROUP BY measure),
-ratio AS (SELECT measure, b, ln((count(*) FILTER (label = 1) + 1.0) / (any_value(t1) + 1.0 * any_value(k))) - ln((count(*) FILTER (label = 0) + 1.0) / (any_value(t0) + 1.0 * any_value(k))) AS r
-          FROM u JOIN used USING (measure) CROSS JOIN tot GROUP BY measure, b),
-e AS (SELECT row, 0.5 * list_sum(list(r ORDER BY nr)) AS evidence FROM u JOIN ratio USING (measure, b) GROUP BY row),
+bins AS (SELECT measure, b, count(*) FILTER (label = 1) AS c1, count(*) FILTER (label = 0) AS c0 FROM u GROUP BY measure, b),
+ue AS (SELECT row, nr, ln((c1 - coalesce(label, 0) + 1.0) / (t1 - coalesce(label, 0) + k)) - ln((c0 - coalesce(1 - label, 0) + 1.0) / (t0 - coalesce(1 - label, 0) + k)) AS r
+       FROM u JOIN bins USING (measure, b) JOIN used USING (measure) CROSS JOIN tot),
+e AS (SELECT row, 0.5 * list_sum(list(r ORDER BY nr)) AS evidence FROM ue GROUP BY row),
 prior AS (SELECT (t1 + 1.0) / (t1 + t0 + 2.0) AS p FROM tot),
 rows_ AS (SELECT m.row, doc_id, host, path, evidence, CAST(coalesce(label * 1000000, round(1e6 / (1 + exp(-(ln(p / (1 - p)) + evidence))))) AS BIGINT) AS mass FROM m JOIN e USING (row) CROSS JOIN prior),
 paths AS (SELECT host, path, count(*) AS n, sum(mass) / 1e6 AS s FROM rows_ GROUP BY ALL),
@@ -106,8 +107,12 @@ hr AS (SELECT host, (s + st * rate) / (n + st) AS hrate FROM hosts CROSS JOIN g2
 j AS (SELECT * FROM paths JOIN hr USING (host)),
 g3 AS (SELECT (sum(n * (s / n - hrate) ** 2) - sum(hrate * (1 - hrate))) / sum(n) AS tau, sum(hrate * (1 - hrate) * n) / sum(n) AS chance FROM j),
 g4 AS (SELECT CASE WHEN tau > 0 THEN {_CLAMP.format("chance / tau - 1")} ELSE 1e6 END AS st FROM g3),
-sites AS (SELECT host, path, least(greatest((s + st * hrate) / (n + st), 1e-6), 1 - 1e-6) AS site_prior FROM j CROSS JOIN g4),
-f AS (SELECT doc_id, host, path, evidence, site_prior, 1 / (1 + exp(-(ln(site_prior / (1 - site_prior)) + evidence))) AS score FROM rows_ JOIN sites USING (host, path))
+rest AS (SELECT doc_id, host, path, evidence, paths.n - 1 AS pn, paths.s - mass / 1e6 AS ps, hosts.n - 1 AS hn, hosts.s - mass / 1e6 AS hs,
+  (SELECT count(*) FROM rows_) - 1 AS an, (SELECT sum(mass) FROM rows_) / 1e6 - mass / 1e6 AS gs FROM rows_ JOIN paths USING (host, path) JOIN hosts USING (host)),
+r1 AS (SELECT *, CASE WHEN an > 0 THEN least(greatest(gs / an, 1e-6), 1 - 1e-6) ELSE p END AS rate_ FROM rest CROSS JOIN prior),
+r2 AS (SELECT r1.*, (hs + g2.st * rate_) / (hn + g2.st) AS hrate_ FROM r1 CROSS JOIN g2),
+sited AS (SELECT r2.*, least(greatest((ps + g4.st * hrate_) / (pn + g4.st), 1e-6), 1 - 1e-6) AS site_prior FROM r2 CROSS JOIN g4),
+f AS (SELECT doc_id, host, path, evidence, site_prior, 1 / (1 + exp(-(ln(site_prior / (1 - site_prior)) + evidence))) AS score FROM sited)
 SELECT doc_id, host, path, round(evidence, 6) AS evidence, round(site_prior, 6) AS site_prior, round(score, 6) AS score, score >= 0.5 AS good FROM f"""
 
 

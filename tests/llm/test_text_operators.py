@@ -117,11 +117,43 @@ def test_quality_separates_labelled_documents(spark):
 
 
 def test_quality_shrinks_sparse_sites(spark):
-    data = [(i, "plain text here", "big", "a") for i in range(200)] + [(1000, "plain text here", "tiny", "a")]
+    data = [(i, "plain text here", "big", "a") for i in range(200)] + [(i, "plain text here", "tiny", "a") for i in (1000, 1001)]
     docs = spark.createDataFrame(data, "doc_id long, text string, host string, path string")
     labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(200)] + [(1000, 0)], "doc_id long, quality int")
-    rates = {r["host"]: r["site_prior"] for r in quality.score_quality(docs, labels, F.col("host"), F.col("path")).collect()}
-    assert abs(rates["big"] - 0.75) < 0.02 and 0.3 < rates["tiny"] < rates["big"]
+    rates = {r["doc_id"]: r["site_prior"] for r in quality.score_quality(docs, labels, F.col("host"), F.col("path")).collect()}
+    assert abs(rates[0] - 0.75) < 0.02 and 0.3 < rates[1001] < rates[0]
+
+
+def test_quality_leaves_a_document_out_of_its_own_score(spark):
+    words = ["plain text here", "BUY NOW!!! $$$ 100% ###", "two lines\nand 12 digits"]
+    data = [(i, words[i % 3], f"h{i % 7}", f"p{i % 2}") for i in range(80)] + [(80, words[1], "alone", "x")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, host string, path string").coalesce(1)
+
+    def scores(own):
+        known = [(i, int(i % 3 != 1 or i % 5 == 0)) for i in range(0, 80, 2)] + [(80, own)]
+        labels = spark.createDataFrame(known, "doc_id long, quality int")
+        return {r["doc_id"]: r for r in quality.score_quality(docs, labels, F.col("host"), F.col("path")).collect()}
+    good, bad = scores(1), scores(0)
+    # Its own label changes no sum that it meets, but those of the others.
+    assert good[80]["evidence"] == pytest.approx(bad[80]["evidence"], abs=1e-9)
+    assert good[1]["evidence"] != bad[1]["evidence"]
+
+
+def test_prior_of_rest_equals_plain_sums(spark):
+    rng = random.Random(3)
+    data = [(f"h{rng.randrange(5)}", f"p{rng.randrange(3)}", rng.randrange(1_000_001)) for _ in range(120)] + [("one", "p", 0)]
+    rows_ = spark.createDataFrame(data, "host string, path string, mass long")
+    sites, pooling = quality.pool_sites(rows_, 0.5)
+    got = [(r["host"], r["path"], r["mass"], r["p"]) for r in rows_.join(sites, ["host", "path"]).withColumn("p", pooling.prior_of_rest()).collect()]
+    for host, path, mass, prior in got:
+        left = list(data)
+        left.remove((host, path, mass))
+        value = sum(m for _, _, m in left) / 1e6 / len(left)
+        for strength, some in ((pooling.host_strength, [m for h, _, m in left if h == host]),
+                               (pooling.path_strength, [m for h, p, m in left if (h, p) == (host, path)])):
+            value = (sum(some) / 1e6 + strength * value) / (len(some) + strength)
+        assert prior == pytest.approx(min(max(value, 1e-6), 1 - 1e-6), abs=1e-9)
+    assert len(got) == len(data)
 
 
 def test_quality_of_awkward_rows(spark):
