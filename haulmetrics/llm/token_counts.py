@@ -45,20 +45,36 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+def _unsupported(spec: dict) -> list[str]:
+    """Settings of a tokenizer file that would change its counts and that this module doesn't have."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    found = [] if model.get("type") == "BPE" else ["model type"]
+    found += [k for k in ("ignore_merges", "dropout", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k)]
+    found += ["normalizer"] if spec.get("normalizer") else []
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        found.append("pre_tokenizer")
+    flags = ("single_word", "lstrip", "rstrip")
+    return found + [f"added token {t['content']!r}" for t in spec.get("added_tokens", []) if any(t.get(k) for k in flags)]
+
+
 def load_merges(path: str) -> MergeTable:
-    """Read a tokenizer file of the byte-level BPE kind; a few MB, as large as its vocabulary."""
+    """Read a tokenizer file of the byte-level BPE kind; a few MB, as large as its vocabulary.
+
+    A file that splits, normalises or merges in another way is an error that names the settings.
+    """
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
+    if wrong := _unsupported(spec):
+        raise ValueError(f"only plain byte-level BPE files are supported, not with {', '.join(wrong)}")
     model = spec["model"]
-    if model["type"] != "BPE" or model.get("ignore_merges") or spec.get("normalizer"):
-        raise ValueError("only plain byte-level BPE files are supported")
     ids = model["vocab"]
     pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     left, right, result = (np.array(x, np.int64) for x in zip(*[(ids[a], ids[b], ids[a + b]) for a, b in pairs],
                                                               strict=True))
     keys = left << 32 | right
     order = np.argsort(keys, kind="stable")
-    special = tuple(t["content"] for t in spec.get("added_tokens", []))
+    # The longest of several special strings at one place counts.
+    special = tuple(sorted((t["content"] for t in spec.get("added_tokens", [])), key=lambda t: (-len(t), t)))
     return MergeTable(keys[order], np.arange(len(keys))[order], result[order],
                       np.array([ids[c] for c in byte_letters()], np.int64), special)
 

@@ -1,5 +1,6 @@
 """Language identification, token counts and quality."""
 
+import json
 import random
 
 import numpy as np
@@ -96,6 +97,33 @@ def test_token_counts_equal_the_library(monkeypatch):
     assert token_counts.Counter(table).count(texts) == expected
 
 
+@pytest.mark.parametrize("part, key, value, named", [
+    ("model", "dropout", 0.1, "dropout"), ("model", "end_of_word_suffix", "</w>", "end_of_word_suffix"),
+    ("pre_tokenizer", "add_prefix_space", True, "pre_tokenizer"), ("pre_tokenizer", "use_regex", False, "pre_tokenizer"),
+    ("pre_tokenizer", "type", "Whitespace", "pre_tokenizer"), ("added_tokens", "lstrip", True, "added token"),
+    ("model", "type", "Unigram", "model type")])
+def test_other_tokenizer_files_are_refused(tmp_path, part, key, value, named):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = json.load(file)
+    changed = spec[part][0] if part == "added_tokens" else spec[part]
+    changed[key] = value
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match=named):
+        token_counts.load_merges(str(path))
+
+
+def test_longest_special_string_wins(tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.add_special_tokens(["<|a", "<|a|>", "a|>b"])
+    path = str(tmp_path / "more.json")
+    library.save(path)
+    texts = ["x<|a|>b", "<|a <|a|>", "a|>b<|a|>b", "<|endoftext|><|a"]
+    got = token_counts.Counter(token_counts.load_merges(path)).count(texts)
+    assert got == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_token_counts_of_awkward_rows(spark):
     data = awkward_rows()
     got = token_counts.count_tokens(clashing(awkward(spark)), public_tokenizers.path("byte_bpe_50k.json"))
