@@ -37,6 +37,16 @@ def trained(lines):
         "broken": LinearRegression(featuresCol="no_such_column", labelCol="days_real")})
 
 
+def test_delivery_lines_are_joined_once(spark, small):
+    """Fills, scalers, fits and scores read a stored table and never join the source tables again."""
+    stored = delivery_lines(spark, small)
+    assert stored.inputFiles() and not any(t in f for f in stored.inputFiles() for t in ("lineitem", "orders", "part.parquet"))
+    joined = prep.date_parts(order_lines(spark, small, [
+        "line_key", "order_item_quantity", "product_price", "sales", "order_ts", "shipping_ts", "days_scheduled", "days_real"]))
+    joined = joined.select(stored.columns)
+    assert stored.exceptAll(joined).isEmpty() and stored.count() == joined.count()
+
+
 def test_delivery_models_beat_the_mean(lines, trained):
     assert set(trained.models) == {"linear_regression", "random_forest", "gradient_boosting"} and "broken" in trained.errors
     for m in trained.metrics.values():
