@@ -47,6 +47,22 @@ def test_delivery_lines_are_joined_once(spark, small):
     assert stored.exceptAll(joined).isEmpty() and stored.count() == joined.count()
 
 
+def test_risk_lines_are_joined_once_and_scored_only_if_asked(spark, small, monkeypatch):
+    """Importances and scores of a named model need no metrics: the test rows are not scored for them."""
+    stored = risk_lines(spark, small)
+    assert stored.inputFiles() and not any(t in f for f in stored.inputFiles() for t in ("lineitem", "orders", "customer"))
+    joined = prep.date_parts(order_lines(spark, small, RUN_COLUMNS)).select(stored.columns)
+    assert stored.exceptAll(joined).isEmpty() and stored.count() == joined.count()
+    common = {"featuresCol": "scaled", "labelCol": risk.LABEL}
+    some = {"logistic": LogisticRegression(**common, maxIter=20)}
+    scored = risk.train_risk_models(stored, estimators=some)
+    monkeypatch.setattr(risk, "score_together", None)
+    plain = risk.train_risk_models(stored, estimators=some, score=False)
+    assert plain.metrics == {} and plain.best is None
+    assert np.allclose(plain.models["logistic"].stages[-1].coefficients, scored.models["logistic"].stages[-1].coefficients)
+    assert risk.predict_risk(stored, plain, "logistic").count() == stored.count()
+
+
 def test_delivery_models_beat_the_mean(lines, trained):
     assert set(trained.models) == {"linear_regression", "random_forest", "gradient_boosting"} and "broken" in trained.errors
     for m in trained.metrics.values():
