@@ -16,6 +16,8 @@ from haulmetrics.sources.star import COLUMNS, order_lines
 
 CSV_NAMES = {name: header for header, name, _ in CSV_COLUMNS}
 _TEXT_TIME = "M/d/yyyy H:mm"
+# Compressed text can't be split, so a file and the task that scans it have at most this many lines.
+_LINES_PER_FILE = 500_000
 
 
 @query("s1_csv_scan", on_lines("SELECT " + ", ".join(
@@ -26,13 +28,13 @@ _TEXT_TIME = "M/d/yyyy H:mm"
                  ("order_item_discount", "money"), ("order_item_total", "money"), ("order_profit", "money"), ("sales_per_customer", "money"))
     ) + " FROM ol"))
 def csv_scan(spark, sf_dir):
-    """The order lines written as a file of the reference layout and scanned again."""
+    """The order lines written as compressed files of the reference layout and scanned again."""
     columns = [c for c in COLUMNS if c in CSV_NAMES]
     df = order_lines(spark, sf_dir, columns)
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/order-lines-{uuid.uuid4().hex}"
     df.select(*[F.col(c).alias(CSV_NAMES[c]) for c in columns]).write.option("header", True).option("encoding", "ISO-8859-1").option(
-        "timestampNTZFormat", _TEXT_TIME).csv(path)
+        "timestampNTZFormat", _TEXT_TIME).option("compression", "gzip").option("maxRecordsPerFile", _LINES_PER_FILE).csv(path)
     got = csv_lines.read_order_lines(spark, path)
     return got.select("line_key", "order_id", "customer_city", "shipping_mode", "market", F.col("order_ts").cast("string").alias("order_ts"),
                       F.col("shipping_ts").cast("string").alias("shipping_ts"), "days_real", "days_scheduled", "late_delivery_risk",

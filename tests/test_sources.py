@@ -2,6 +2,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from haulmetrics.plans import prep_queries
 from haulmetrics.schema import CSV_COLUMNS
 from haulmetrics.session import ensure_checkpoint_dir
 from haulmetrics.sources import csv_lines, quality
@@ -100,3 +101,11 @@ def test_orphaned_lines(spark, small, tmp_path):
     pq.write_table(pa.concat_tables([lines, orphan]), tmp_path / "lineitem.parquet")
     assert order_lines(spark, str(tmp_path), ["sales"]).count() == 51
     assert order_lines(spark, str(tmp_path), ["sales"], enforce_keys=True).count() == 50
+
+
+def test_csv_scan_reads_compressed_files_of_bounded_length(spark, small, monkeypatch):
+    monkeypatch.setattr(prep_queries, "_LINES_PER_FILE", 1_000)
+    got = prep_queries.csv_scan(spark, small)
+    files = got.inputFiles()
+    assert len(files) >= 6 and all(f.endswith(".csv.gz") for f in files)
+    assert got.count() == order_lines(spark, small, ["line_key"]).count()
