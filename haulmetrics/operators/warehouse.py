@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from haulmetrics.functions.exprs import dbl, ratio
 from haulmetrics.functions.geo import facility_array, haversine_km, nearest_in
-from haulmetrics.functions.quantiles import exact_quantiles
+from haulmetrics.functions.ranks import prefix_sums
 from haulmetrics.operators.clustering import STARTS, best_kmeans, grouped_kmeans, join_groups
 from haulmetrics.operators.scenarios import rank_scenarios
 from haulmetrics.operators.tours import km_matrix
@@ -149,10 +149,14 @@ def candidate_sites(df: DataFrame, m: int = 30, lat: str = "latitude", lon: str
     """Sites of m lines evenly spaced in latitude order; the smallest longitude stands for
     a latitude. Repeated sites count once, so fewer than m may come back."""
     placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    # Lines are counted per latitude, so ranks are looked up among latitudes and not line by line.
+    counts = placed.groupBy(F.lit(1).alias("_all"), dbl(lat).alias("lat")).agg(F.count(F.lit(1)).alias("n"), F.min(lon).alias("lon"))
+    ranked = cut_lineage(prefix_sums(counts, ["_all"], ["lat"], ["n"]))
+    lines = ranked.agg(F.sum("n")).first()[0] or 0
     shares = [Fraction(i, m - 1) for i in range(m)] if m > 1 else [Fraction(0)]
-    lats = [x for x in exact_quantiles(placed, [lat], shares, interpolate=False)[lat] if x is not None]
-    rows = placed.where(F.col(lat).isin(sorted(set(lats)))).groupBy(lat).agg(F.min(lon).alias("lon")).collect()
-    return sorted((r[lat], r["lon"]) for r in rows)
+    ranks = F.array(*[F.lit(rank) for rank in sorted({math.floor(p * (lines - 1)) for p in shares})])
+    wanted = F.exists(ranks, lambda rank: (rank >= F.col("before_n")) & (rank < F.col("before_n") + F.col("n")))
+    return sorted((r["lat"], r["lon"]) for r in ranked.where(wanted).select("lat", "lon").collect())
 
 
 def cheapest_set(points: DataFrame, sites: Places, sets: Sequence[Sequence[int]]) -> tuple[tuple[int, ...], float]:
@@ -305,6 +309,8 @@ def nearest_by_km(points: DataFrame, facilities: Places) -> DataFrame:
 
 def p_median(points: DataFrame, sites: Places, p: int = 5, method: str = "exact", max_sets: int = MAX_SETS) -> DataFrame:
     """Statistics of the chosen sites with the objective on every row; points with ``missing="one"``."""
+    # The search and the statistics read the points; what made them runs once.
+    points = cut_lineage(points)
     chosen, objective = p_median_sites(points, sites, p, method, max_sets)
     opened = [sites[j] for j in chosen]
     return distance_stats(nearest_by_km(points, opened), []).withColumn("objective", F.lit(objective))

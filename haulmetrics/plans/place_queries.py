@@ -9,7 +9,7 @@ from haulmetrics.operators import facility_tables, metrics, routing, stops, ware
 from haulmetrics.plans.gaps import GAP_COLUMNS
 from haulmetrics.plans.metric_queries import rounded
 from haulmetrics.plans.registry import on_lines, query
-from haulmetrics.session import cut_lineage
+from haulmetrics.session import cut_lineage, stored
 from haulmetrics.sources.star import order_lines
 
 PLACE = ("latitude", "longitude")
@@ -99,14 +99,21 @@ _SERVED = ("served", f"""SELECT * FROM (SELECT points.*, opened.*, row_number()
     "SELECT s.*, (SELECT round(objective, 1) FROM best_set) AS objective FROM (" + _STATS.format(source="served") + ") s",
     _POINTS, _SPACED, _KM, _BEST_SET, _OPENED, _SERVED))
 def p_median(spark, sf_dir):
-    sites = warehouse.candidate_sites(order_lines(spark, sf_dir, PLACE))
-    out = _rounded_stats(warehouse.p_median(points(spark, sf_dir), sites, 3))
+    lines = stored(order_lines(spark, sf_dir, DEMAND), "demand-lines")
+    sites = warehouse.candidate_sites(lines)
+    out = _rounded_stats(warehouse.p_median(warehouse.demand_points(lines), sites, 3))
     return out.withColumn("objective", F.round("objective", 1))
 
 
+GAP_DEMAND = (*DEMAND, "order_id", "days_real")
+
+
 def gap_points(spark, sf_dir, missing):
     """Demand points of lines of which some have no quantity."""
-    lines = order_lines(spark, sf_dir, [*DEMAND, "order_id", "days_real"])
+    return gap_points_of(order_lines(spark, sf_dir, GAP_DEMAND), missing)
+
+
+def gap_points_of(lines, missing):
     return warehouse.demand_points(lines.withColumn("order_item_quantity", F.expr(GAP_COLUMNS["order_item_quantity"])), missing=missing)
 
 
@@ -133,8 +140,9 @@ _OPENED_FIVE = ("opened", _OPENED[1].replace("(j1, j2, j3)", "(j1, j2, j3, j4, j
     _gap_points_sql("coalesce(q, 1)", "true"), _SPACED, _KM, _BEST_FIVE, _OPENED_FIVE, _SERVED))
 def p_median_default(spark, sf_dir):
     """Five facilities out of thirty candidates, every set of them; lines without a quantity ask for one piece."""
-    sites = warehouse.candidate_sites(order_lines(spark, sf_dir, PLACE))
-    out = _rounded_stats(warehouse.p_median(gap_points(spark, sf_dir, "one"), sites))
+    lines = stored(order_lines(spark, sf_dir, GAP_DEMAND), "demand-lines")
+    sites = warehouse.candidate_sites(lines)
+    out = _rounded_stats(warehouse.p_median(gap_points_of(lines, "one"), sites))
     return out.withColumn("objective", F.round("objective", 1))
 
 
@@ -207,8 +215,9 @@ def coverage_of_table(spark, sf_dir):
 @query("w5_p_median_exchange")
 def p_median_exchange(spark, sf_dir):
     """Ten facilities out of sixty candidates, whose sets are too many to score."""
-    sites = warehouse.candidate_sites(order_lines(spark, sf_dir, PLACE), 60)
-    return _rounded_stats(warehouse.p_median(points(spark, sf_dir), sites, 10, method="exchange"))
+    lines = stored(order_lines(spark, sf_dir, DEMAND), "demand-lines")
+    sites = warehouse.candidate_sites(lines, 60)
+    return _rounded_stats(warehouse.p_median(warehouse.demand_points(lines), sites, 10, method="exchange"))
 
 
 @query("w7_scenarios")

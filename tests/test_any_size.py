@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from haulmetrics.functions import grouped_quantiles as gq, labels, ranks
 from haulmetrics.operators import facility_tables, preprocess as prep, risk, warehouse
+from haulmetrics.plans import place_queries
+from haulmetrics.sources import star
 from haulmetrics.sources.quality import hash_sample
 
 
@@ -160,3 +162,18 @@ def test_terms_of_all_swaps_equal_plain_costs(spark):
         warehouse.p_median_sites(df, sites, 3, max_sets=55)
     assert warehouse.p_median_sites(df, sites, 8, method="exchange")[0] == tuple(range(8))
     assert math.isfinite(warehouse.p_median_sites(df.limit(0), sites, 2, method="exchange")[1])
+
+
+def test_candidate_sites_count_latitudes_and_join_lines_once(spark, small, monkeypatch):
+    rng = random.Random(4)
+    rows = [(float(rng.randrange(40)), rng.random()) for _ in range(700)] + [(None, 1.0), (3.0, None)]
+    df = spark.createDataFrame(rows, "latitude double, longitude double").repartition(7)
+    placed = sorted(r for r in rows if None not in r)
+    for m in (1, 2, 7, 60):
+        ranks = [i * (len(placed) - 1) // (m - 1) for i in range(m)] if m > 1 else [0]
+        lats = {placed[r][0] for r in ranks}
+        assert warehouse.candidate_sites(df, m) == [(a, min(y for x, y in placed if x == a)) for a in sorted(lats)]
+    assert warehouse.candidate_sites(df.limit(0)) == []
+    read = []
+    monkeypatch.setattr(place_queries, "order_lines", lambda *a, **k: read.append(a) or star.order_lines(*a, **k))
+    assert place_queries.p_median_exchange(spark, small).count() == 10 and len(read) == 1
