@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from haulmetrics.operators import delivery, preprocess as prep, risk, stages
+from haulmetrics.operators import delivery, preprocess as prep, risk, stages, training
 from haulmetrics.plans import run_all
 from haulmetrics.plans.model_queries import delivery_lines, risk_lines
 from haulmetrics.plans.run_queries import RUN_COLUMNS
@@ -241,3 +241,13 @@ def test_model_queries_end_with_their_models(spark, name):
 def test_forests_are_registered_at_full_depth():
     assert delivery.regressors()["random_forest"].getMaxDepth() == 30 and delivery.regressors()["random_forest"].getNumTrees() == 100
     assert risk.classifiers(10)["rf"].getMaxDepth() == 30 and risk.classifiers(10)["rf"].getNumTrees() == 100
+
+
+def test_many_fits_do_not_put_a_large_table_into_one_task(spark, monkeypatch):
+    monkeypatch.setattr(training, "MAX_ROWS_PER_PARTITION", 10_000)
+    small, large = (training.training_rows(spark.range(n).toDF("a"), 15) for n in (4_000, 45_000))
+    try:
+        assert small.rdd.getNumPartitions() == 1 and large.rdd.getNumPartitions() == 5 and large.count() == 45_000
+    finally:
+        small.unpersist()
+        large.unpersist()
