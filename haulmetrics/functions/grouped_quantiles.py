@@ -46,6 +46,12 @@ def _read(values: DataFrame, wanted: DataFrame) -> DataFrame:
         "key", "q", "rank", "value")
 
 
+def _between(a: Column, b: Column, part: Column) -> Column:
+    """``quantiles.between`` for ``a <= b``; null for nulls."""
+    fused = F.java_method(F.lit("java.lang.Math"), F.lit("fma"), a, 1 - part, b * part).cast("double")
+    return F.when(a < b, fused).otherwise(a)
+
+
 def grouped_quantiles(df: DataFrame, by: Sequence[str], column: str | Column, probabilities: Mapping[str, float]) -> DataFrame:
     """(``by``, ``n``, one column for each named probability): linear interpolation between neighbouring ranks.
 
@@ -79,7 +85,6 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], column: str | Column, pr
                                                       *[F.max(e).alias(f"b{q}") for q, e in enumerate(ends)])
     out = []
     for q, (name, position) in enumerate(positions.items()):
-        a, b = F.col(f"a{q}"), F.col(f"b{q}")
-        out.append(F.when(a == b, a).otherwise(a + (b - a) * (position - F.floor(position))).alias(name))
+        out.append(_between(F.col(f"a{q}"), F.col(f"b{q}"), position - F.floor(position)).alias(name))
     return sketch.join(read, F.col("key") == F.col("of"), "left").select(
         *[F.col(f"key.k{i}").alias(c) for i, c in enumerate(by)], "n", *out)

@@ -1,10 +1,12 @@
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from haulmetrics.functions import quantiles
+from haulmetrics.functions.grouped_quantiles import grouped_quantiles
 from haulmetrics.functions.quantiles import exact_quantiles
 
 PROBS = (0.0, 0.25, 0.5, 0.75, 0.9, 1.0)
@@ -75,3 +77,20 @@ def test_spaced_ranks(spark):
     df = spark.range(101).selectExpr("CAST(id AS DOUBLE) AS x")
     got = exact_quantiles(df, ["x"], [Fraction(i, 7) for i in range(8)], interpolate=False)["x"]
     assert got == [float(i * 100 // 7) for i in range(8)]
+
+
+def test_values_between_ranks_equal_sql_to_the_last_digit(spark):
+    """Amounts of four decimals, in groups of one to sixty; a key without values and infinite ones."""
+    rng = np.random.default_rng(7)
+    data = [(k, round(float(v), 4) * 0.93) for k in range(1, 61) for v in rng.uniform(900, 100_000, k)]
+    data += [(61, None), (62, 1.5), (62, float("inf")), (63, float("-inf")), (63, 2.5)]
+    df = spark.createDataFrame(data, "k long, v double")
+    con = duckdb.connect()
+    con.register("amounts", df.toArrow())
+    shares = {"a": 0.25, "b": 0.5, "c": 0.9}
+    wanted = ", ".join(f"quantile_cont(v, {p})" for p in shares.values())
+    sql = {k: values for k, *values in con.execute(f"SELECT k, {wanted} FROM amounts GROUP BY k").fetchall()}
+    got = {r["k"]: [r[name] for name in shares] for r in grouped_quantiles(df, ["k"], "v", shares).collect()}
+    assert got == sql
+    for k in (2, 11, 30, 47, 60):
+        assert exact_quantiles(df.where(df.k == k), ["v"], list(shares.values()))["v"] == sql[k]
