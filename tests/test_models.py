@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from haulmetrics.operators import delivery, preprocess as prep, risk, stages, training
-from haulmetrics.plans import run_all
+from haulmetrics.plans import model_queries, run_all
 from haulmetrics.plans.model_queries import delivery_lines, risk_lines
 from haulmetrics.plans.run_queries import RUN_COLUMNS
 from haulmetrics.sources.star import order_lines
@@ -238,6 +238,17 @@ def test_model_queries_end_with_their_models(spark, name):
         assert {r["status"] for r in out} == {"success"}
 
 
+@pytest.mark.parametrize("name, trainer, kind", [("d12_feature_importance", "train_delivery", delivery.DeliveryModels),
+                                                 ("r9_risk_factors", "train_risk", risk.RiskModels)])
+def test_importances_of_a_failed_fit_are_an_error(spark, small, monkeypatch, name, trainer, kind):
+    """No empty table: that would look like a model without features."""
+    model = {"d12_feature_importance": "random_forest", "r9_risk_factors": "rf"}[name]
+    failed = kind(delivery.FeatureFill([], {}) if kind is delivery.DeliveryModels else risk.RiskEncoder([], None), errors={model: "out of luck"})
+    monkeypatch.setattr(model_queries, trainer, lambda *args, **kwargs: failed)
+    with pytest.raises(RuntimeError, match="out of luck"):
+        entry.queries()[name](spark, small)
+
+
 def test_forests_are_registered_at_full_depth():
     assert delivery.regressors()["random_forest"].getMaxDepth() == 30 and delivery.regressors()["random_forest"].getNumTrees() == 100
     assert risk.classifiers(10)["rf"].getMaxDepth() == 30 and risk.classifiers(10)["rf"].getNumTrees() == 100
