@@ -158,6 +158,24 @@ def test_classifiers_see_a_bounded_share_of_each_class(spark):
     assert some.exceptAll(risk.bounded_rows(df.repartition(7), 8_000)).isEmpty()
 
 
+def test_classifiers_are_fitted_on_every_train_row(spark):
+    """Each classifier sees all train rows of a table of more than 20,000, and the ridge term is the one for that many."""
+    df = spark.range(30_000).selectExpr("id AS line_key", "CAST(id % 4 = 0 AS INT) AS late_delivery_risk", "CAST(id % 7 AS DOUBLE) AS days_scheduled",
+                                        "CAST(id % 3 AS STRING) AS market")
+    seen = []
+
+    class Counted(LogisticRegression):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+    some = {n: Counted(featuresCol="scaled", labelCol=risk.LABEL, maxIter=2) for n in ("a", "b")}
+    n_train = risk.stratified_split(df)[0].count()
+    trained = risk.train_risk_models(df, estimators=some)
+    assert n_train > 20_000 and seen == [n_train, n_train] and set(trained.models) == {"a", "b"}
+    ridge = risk.train_risk_models(df, ["logistic"], score=False).models["logistic"].stages[-1].getRegParam()
+    assert ridge == pytest.approx(1 / n_train)
+
+
 def test_encoders_join_long_dictionaries(spark, small):
     df = risk_lines(spark, small)
     short, long = (risk.fit_encoder(df, literal_levels=n) for n in (64, 1))
