@@ -10,68 +10,16 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
-from pyspark import keyword_only
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from haulmetrics.functions.labels import LabelDictionary
 from haulmetrics.operators import preprocess
 from haulmetrics.operators.delivery import TARGET, DeliveryModels, FeatureFill, fill_features
+from haulmetrics.operators.fitted import FittedStage
 from haulmetrics.operators.risk import RiskEncoder, RiskModels
 
 
-class _Writer(MLWriter):
-    """Parameters as metadata, dictionaries as Parquet beside them."""
-
-    def __init__(self, stage: FittedStage):
-        super().__init__()
-        self.stage = stage
-
-    def saveImpl(self, path: str) -> None:
-        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extraMetadata={"tables": list(self.stage.tables)})
-        for name, table in self.stage.tables.items():
-            table.write.parquet(f"{path}/tables/{name}")
-
-
-class _Reader(MLReader):
-    def __init__(self, kind: type[FittedStage]):
-        super().__init__()
-        self.kind = kind
-
-    def load(self, path: str) -> FittedStage:
-        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        stage = self.kind()
-        stage._resetUid(metadata["uid"])
-        DefaultParamsReader.getAndSetParams(stage, metadata)
-        stage.tables = {n: self.sparkSession.read.parquet(f"{path}/tables/{n}") for n in metadata["tables"]}
-        return stage
-
-
-class FittedStage(Transformer, MLWritable, MLReadable):
-    """A stage whose learned numbers and names are one JSON parameter, with tables for long dictionaries."""
-
-    state = Param(Params._dummy(), "state", "what was learned, as JSON", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, *, state: str = "{}"):
-        super().__init__()
-        self.tables: dict[str, DataFrame] = {}
-        self._set(state=state)
-
-    @property
-    def learned(self) -> dict:
-        return json.loads(self.getOrDefault("state"))
-
-    def write(self) -> MLWriter:
-        return _Writer(self)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _Reader(cls)
-
-
 class PreprocessingStage(FittedStage):
     """The preprocessing steps with what they learned; a step that learned nothing is just applied."""
 
